@@ -8,11 +8,11 @@ Q = sum over communities c of [ in(c) / 2m - (tot(c) / 2m)^2 ].
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.operators.graph import BROADCAST_ROWS, Graph, undirected
-from plexus.session import checkpoint
+from plexus.session import checkpoint, observation
 
 
 def _small(df: DataFrame, bound: int) -> DataFrame:
@@ -70,7 +70,7 @@ def label_propagation_run(graph: Graph, max_iter: int = 10):
         nxt = (labels.join(best, "vid", "left")
                .select("vid", F.coalesce("new", "label").alias("label"),
                        (F.col("new").isNotNull() & (F.col("new") != F.col("label"))).alias("changed")))
-        obs = Observation(f"lpa-{it}-{id(nxt)}")
+        obs = observation("lpa")
         nxt = checkpoint(nxt.observe(obs, F.count_if("changed").alias("changed")))
         labels = nxt.select("vid", "label")
         ran = it
@@ -124,11 +124,11 @@ def _local_moves(sym: DataFrame, nodes: DataFrame, n_nodes: int, two_m: float, l
                      F.max(F.when(F.col("cv") == F.col("cu"), F.col("gain"))).alias("stay")))
         move = (_hash_half(F.col("n"), level, rnd) & (F.col("b.gain") > F.col("stay") + F.lit(1e-12))
                 & ((-F.col("b.neg")) != F.col("cu")))
+        obs = observation("louvain")
         proposal = checkpoint(best.select(
             "n", "k", F.when(move, -F.col("b.neg")).otherwise(F.col("cu")).alias("c"),
-            move.alias("moved")))
-        n_moved = proposal.where("moved").limit(1).count()
-        if n_moved == 0:
+            move.alias("moved")).observe(obs, F.count_if("moved").alias("moved")))
+        if int(obs.get["moved"] or 0) == 0:
             fails += 1
             if fails >= 2:
                 break
@@ -143,7 +143,7 @@ def _local_moves(sym: DataFrame, nodes: DataFrame, n_nodes: int, two_m: float, l
     return comm, q, moved_any
 
 
-def louvain_run(graph: Graph, max_levels: int = 10, max_rounds: int = 20, tol: float = 1e-7):
+def louvain_run(graph: Graph, max_levels: int = 10, max_rounds: int = 5, tol: float = 1e-7):
     """Multi-level Louvain. Returns (labels (vid, community), summary).
 
     Level loop: local moves, then contraction of each community into one node

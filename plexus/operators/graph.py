@@ -11,10 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.session import materialize
+from plexus.session import materialize, observation
 
 # A side is broadcast only when its row count has been counted and is below this.
 BROADCAST_ROWS = 4_000_000
@@ -76,6 +76,7 @@ class Graph:
     projection: DataFrame    # (src, dst, w)
     n_vertices: int
     n_pairs: int
+    n_edges: int
 
     def small(self, df: DataFrame, rows: int | None = None) -> DataFrame:
         """Broadcast ``df`` only when its (counted) size bound is under the limit."""
@@ -98,13 +99,13 @@ def build_graph(edges: DataFrame) -> Graph:
     """Gold edges -> vertices (dense ids), resolved edges and the weighted projection."""
     vertices = materialize(dense_index(vertex_ids(edges), "user", "vid"), "vertices")
     resolved = resolve_edges(edges, vertices)
-    obs = Observation("pairs")
+    obs = observation("pairs")
     projection, metrics = materialize(weighted_projection(resolved), "projection",
-                                      observe=(obs, F.count(F.lit(1)).alias("pairs")))
-    n_pairs = int(metrics["pairs"])
+                                      observe=(obs, F.count(F.lit(1)).alias("pairs"),
+                                               F.sum("w").alias("edges")))
     n_vertices = vertices.count()
-    return Graph(vertices=vertices, edges=resolved, projection=projection,
-                 n_vertices=n_vertices, n_pairs=n_pairs)
+    return Graph(vertices=vertices, edges=resolved, projection=projection, n_vertices=n_vertices,
+                 n_pairs=int(metrics["pairs"]), n_edges=int(metrics["edges"] or 0))
 
 
 # ---------------------------------------------------------------- simple statistics

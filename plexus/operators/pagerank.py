@@ -11,11 +11,11 @@ each count (``w``) and ``outdeg`` counts them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.operators.graph import BROADCAST_ROWS, Graph
-from plexus.session import checkpoint, materialize
+from plexus.session import checkpoint, materialize, observation
 
 
 def transition(graph: Graph) -> DataFrame:
@@ -56,7 +56,7 @@ def pagerank_run(graph: Graph, damping: float = 0.85, max_iter: int = 20, tol: f
         summed = rows.groupBy("vid").agg(F.sum("p").alias("p"), F.sum("m").alias("m"))
         delta = damping * F.col("m")
         nxt = summed.select("vid", (F.col("p") + delta).alias("p"), delta.alias("d"))
-        obs = Observation(f"pagerank-{step}-{id(state)}")
+        obs = observation("pagerank")
         state = checkpoint(nxt.observe(obs, F.count_if(F.col("d") > tol).alias("active")))
         ran = step
         if int(obs.get["active"] or 0) == 0:

@@ -8,11 +8,11 @@ the depth of the search and an executor loss replays at most one level.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.operators.graph import BROADCAST_ROWS, Graph, undirected
-from plexus.session import checkpoint
+from plexus.session import checkpoint, observation
 
 
 def adjacency(graph: Graph, direction: str = "out") -> DataFrame:
@@ -68,7 +68,7 @@ def bfs_levels(adj: DataFrame, sources: DataFrame, with_sigma: bool = True,
         else:
             step = step.select("s", "v").distinct().select("s", "v", F.lit(1.0).alias("sigma"))
         step = step.join(seen, ["s", "v"], "left_anti")
-        obs = Observation(f"bfs-{k}-{id(step)}")
+        obs = observation("bfs")
         level = checkpoint(step.observe(obs, F.count(F.lit(1)).alias("n")))
         if int(obs.get["n"] or 0) == 0:
             break
@@ -181,7 +181,7 @@ def shortest_path(graph: Graph, source: str, target: str) -> DataFrame:
                 .agg(F.min("path").alias("path"), F.first("dst_user").alias("u"))
                 .join(seen, "vid", "left_anti")
                 .select("vid", F.concat("path", F.array("u")).alias("path")))
-        obs = Observation(f"sp-{depth}-{id(step)}")
+        obs = observation("sp")
         frontier = checkpoint(step.observe(
             obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("vid") == ids[target]).alias("hit")))
         got = obs.get

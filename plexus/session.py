@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings every job of the library assumes. AQE re-plans joins at run time
 # (broadcast when a side turns out small, splits skewed partitions) and
@@ -18,6 +19,19 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Launch-time settings for sessions this library creates (tests, bench). Graph
+# loops run many small jobs: keep the status store small and let the cleaner
+# delete checkpoint files of rounds nobody references any more.
+LAUNCH_CONF = {
+    "spark.driver.memory": "8g",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "50",
+    "spark.ui.retainedStages": "50",
+    "spark.ui.retainedTasks": "2000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def build_session(master: str | None = None, app: str = "plexus",
                   shuffle_partitions: int | None = None,
@@ -26,7 +40,7 @@ def build_session(master: str | None = None, app: str = "plexus",
     b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
-    for k, v in RUNTIME_CONF.items():
+    for k, v in {**LAUNCH_CONF, **RUNTIME_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -98,6 +112,14 @@ def materialize(df: DataFrame, name: str, observe: tuple | None = None):
     return out
 
 
+_OBS_IDS = itertools.count()
+
+
+def observation(prefix: str) -> Observation:
+    """An Observation with a name unique in this process (names must not repeat)."""
+    return Observation(f"{prefix}-{next(_OBS_IDS)}-{uuid.uuid4().hex[:8]}")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint): the
     result survives executor loss and the next round starts from a one-node plan."""
