@@ -36,10 +36,12 @@ def main() -> None:
     t0 = time.time()
     catalog.graph_of(spark, sf_dir)
     times["graph_build"] = round(time.time() - t0, 3)
+    print(f"graph_build: {times['graph_build']}s", file=sys.stderr, flush=True)
     for name in HEADLINE:
         t = time.time()
         catalog.QUERIES[name](spark, sf_dir).collect()
         times[name] = round(time.time() - t, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times,
