@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.operators.graph import BROADCAST_ROWS, Graph, undirected
-from plexus.session import checkpoint, observation
+from plexus.session import checkpoint, drop_table, observation
 
 
 def _small(df: DataFrame, bound: int) -> DataFrame:
@@ -72,6 +72,7 @@ def label_propagation_run(graph: Graph, max_iter: int = 10):
                        (F.col("new").isNotNull() & (F.col("new") != F.col("label"))).alias("changed")))
         obs = observation("lpa")
         nxt = checkpoint(nxt.observe(obs, F.count_if("changed").alias("changed")))
+        drop_table(labels)
         labels = nxt.select("vid", "label")
         ran = it
         if int(obs.get["changed"] or 0) == 0:
@@ -129,14 +130,17 @@ def _local_moves(sym: DataFrame, nodes: DataFrame, n_nodes: int, two_m: float, l
             "n", "k", F.when(move, -F.col("b.neg")).otherwise(F.col("cu")).alias("c"),
             move.alias("moved")).observe(obs, F.count_if("moved").alias("moved")))
         if int(obs.get["moved"] or 0) == 0:
+            drop_table(proposal)
             fails += 1
             if fails >= 2:
                 break
             continue
         q_new = modularity_of(sym, proposal, node="n", label="c").first()["modularity"]
         if q_new > q + tol:
+            drop_table(comm)
             comm, q, moved_any, fails = proposal.select("n", "c", "k"), q_new, True, 0
         else:
+            drop_table(proposal)
             fails += 1
             if fails >= 2:
                 break
@@ -167,12 +171,15 @@ def louvain_run(graph: Graph, max_levels: int = 10, max_rounds: int = 5, tol: fl
             break
         levels_q.append(q)
         cmap = comm.select("n", "c")
+        old_member, old_sym = member, sym
         member = checkpoint(member.join(_small(cmap, n_nodes), "n").select("vid", F.col("c").alias("n")))
         sym = checkpoint(
             sym.join(_small(cmap.select(F.col("n").alias("src"), F.col("c").alias("cs")), n_nodes), "src")
             .join(_small(cmap.select(F.col("n").alias("dst"), F.col("c").alias("cd")), n_nodes), "dst")
             .groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")))
         n_nodes = comm.select("c").distinct().count()
+        for done in (comm, old_member, old_sym):
+            drop_table(done)
     labels = member.groupBy("n").agg(F.min("vid").alias("community"))
     labels = checkpoint(member.join(labels, "n").select("vid", "community"))
     n_comm = labels.select("community").distinct().count()

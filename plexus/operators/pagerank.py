@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.operators.graph import BROADCAST_ROWS, Graph
-from plexus.session import checkpoint, materialize, observation
+from plexus.session import checkpoint, drop_table, materialize, observation
 
 
 def transition(graph: Graph) -> DataFrame:
@@ -57,7 +57,8 @@ def pagerank_run(graph: Graph, damping: float = 0.85, max_iter: int = 20, tol: f
         delta = damping * F.col("m")
         nxt = summed.select("vid", (F.col("p") + delta).alias("p"), delta.alias("d"))
         obs = observation("pagerank")
-        state = checkpoint(nxt.observe(obs, F.count_if(F.col("d") > tol).alias("active")))
+        prev, state = state, checkpoint(nxt.observe(obs, F.count_if(F.col("d") > tol).alias("active")))
+        drop_table(prev)
         ran = step
         if int(obs.get["active"] or 0) == 0:
             break

@@ -7,7 +7,7 @@ community_louvain)``: the real one from the graph algorithms, or the exact
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.ranking import average_rank_desc, top_k_per_group
@@ -42,14 +42,21 @@ def user_metrics(graph: Graph, pagerank: DataFrame | None = None, betweenness: D
     return out.drop("vid")
 
 
+def _present(name: str) -> Column:
+    """The column with NaN read as missing, as a pandas ``fillna`` would."""
+    c = F.col(name)
+    return F.when(c.isNull() | F.isnan(c.cast("double")), F.lit(None)).otherwise(c)
+
+
 def export_metrics(metrics: DataFrame) -> DataFrame:
-    """Coalesced metrics (0, 0, -1), ordered by the *raw* pagerank, nulls first."""
+    """Coalesced metrics (0, 0, -1), ordered by the *raw* pagerank, nulls first
+    (NaN counts as missing)."""
     return metrics.select(
         "user",
-        F.coalesce("pagerank", F.lit(0.0)).alias("pagerank"),
-        F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"),
-        F.coalesce("community_louvain", F.lit(-1)).cast("long").alias("community_louvain"),
-        F.col("pagerank").alias("_raw"),
+        F.coalesce(_present("pagerank"), F.lit(0.0)).alias("pagerank"),
+        F.coalesce(_present("betweenness"), F.lit(0.0)).alias("betweenness"),
+        F.coalesce(_present("community_louvain"), F.lit(-1)).cast("long").alias("community_louvain"),
+        _present("pagerank").alias("_raw"),
     ).orderBy(F.col("_raw").desc_nulls_first(), "user").drop("_raw")
 
 
@@ -72,8 +79,9 @@ def influence_score(metrics: DataFrame, n: int = 20) -> DataFrame:
 
 
 def user_rank(metrics: DataFrame, metric: str = "pagerank") -> DataFrame:
-    """Every user's rank by ``metric`` (descending, average rank on ties, truncated)."""
-    return (average_rank_desc(metrics.select("user", metric), metric)
+    """Every user's rank by ``metric`` (descending, average rank on ties, truncated;
+    NaN is missing and ranks last with the nulls)."""
+    return (average_rank_desc(metrics.select("user", _present(metric).alias(metric)), metric)
             .select("user", F.round(metric, ROUND).alias(metric), "rank"))
 
 

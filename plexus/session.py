@@ -120,20 +120,31 @@ def observation(prefix: str) -> Observation:
     return Observation(f"{prefix}-{next(_OBS_IDS)}-{uuid.uuid4().hex[:8]}")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint): the
-    result survives executor loss and the next round starts from a one-node plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs a plain local path (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def checkpoint(df: DataFrame, name: str = "round") -> DataFrame:
+    """Cut lineage with a table written into the shared checkpoint folder (never a
+    local checkpoint): the result survives executor loss and the next round starts
+    from a one-node plan.
+
+    A written table rather than ``Dataset.checkpoint``: a checkpointed RDD keeps
+    the size estimate of the plan it replaced, and inner-join estimates are
+    products, so in an iterative loop the estimate's digit count multiplies every
+    round until planning itself takes minutes. A parquet scan is estimated from
+    its real file sizes, which also lets AQE and the broadcast check see true
+    sizes. One write job, observed metrics included."""
+    return materialize(df, name)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a round table written by ``checkpoint`` once a loop no
+    longer needs it (a superseded round), so an iterative job does not leave one
+    edge-sized table per round in the shared folder. Any other DataFrame
+    (a source table, a named materialised table) is left alone."""
+    files = df.inputFiles()
+    if not files:
+        return
+    folder = files[0].rsplit("/", 1)[0]
+    if not folder.rsplit("/", 1)[-1].startswith("plexus-round-"):
+        return
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -21,7 +21,7 @@ DIRTY = [
     None,                                                                        # null message
     '{"user_from":"a","x":1}',                                                   # missing fields
     GOOD.replace("2025-01-01 10:00:00", "bad"),                                  # bad time
-    GOOD.replace("2025-01-01 10:00:00", "2025-01-01"),                           # date only
+    GOOD.replace("2025-01-01 10:00:00", "2025-01-01"),                           # date only: no match
     GOOD.replace('"like"', '"POKE"').replace("10:00:00", "11:00:00"),            # unknown action
     GOOD.replace('"user_from":"a"', '"user_from":""').replace("10:00:00", "12:00:00"),  # empty user
     GOOD.replace('"user_to":"b"', '"user_to":"a"').replace("10:00:00", "13:00:00"),     # self-loop
@@ -46,7 +46,9 @@ def test_parse_keeps_bad_messages_as_null_rows(messages):
 
 def test_silver_rules(messages):
     s = silver.clean(parse_messages(messages)).toPandas()
-    assert len(s) == 7
+    # a date without a time does not match the full pattern and is dropped like a bad time
+    assert len(s) == 6
+    assert not (s.timestamp == "2025-01-01").any()
     assert sorted(s.action.unique()) == ["LIKE", "POKE"]
     ten = s[s.timestamp == "2025-01-01 10:00:00"]
     assert len(ten) == 2  # 'like' and 'LIKE' both survive
