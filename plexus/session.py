@@ -20,8 +20,8 @@ RUNTIME_CONF = {
 }
 
 # Launch-time settings for sessions this library creates (tests, bench). Graph
-# loops run many small jobs: keep the status store small and let the cleaner
-# delete checkpoint files of rounds nobody references any more.
+# loops run many small jobs: keep the status store small. (Round tables are
+# deleted by the loops themselves, see ``drop_table``.)
 LAUNCH_CONF = {
     "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",
@@ -106,7 +106,8 @@ def materialize(df: DataFrame, name: str, observe: tuple | None = None):
         obs, *metrics = observe
         df = df.observe(obs, *metrics)
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer scan or inference
+    out = spark.read.schema(df.schema).parquet(path)
     if observe:
         return out, observe[0].get
     return out
