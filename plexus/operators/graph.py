@@ -110,6 +110,28 @@ def build_graph(edges: DataFrame) -> Graph:
 
 # ---------------------------------------------------------------- simple statistics
 
+def undirected_pattern(graph: Graph, scores: DataFrame, metric: str = "pagerank",
+                       threshold: float = 0.01) -> DataFrame:
+    """``(u)-[r]-(u2)`` with ``metric > threshold`` at both ends, matched without
+    direction: every edge row comes out once per orientation, a self-loop once.
+
+    Rows: (u, u_<metric>, action, event_time, u2, u2_<metric>). The edge table is
+    read once per orientation (a union, no self-join); the vertex-sized score
+    table is broadcast only under the counted vertex bound.
+    """
+    keep = scores.where(F.col(metric) > threshold).select("vid", metric)
+    e = graph.edges.select("user_from", "user_to", "src", "dst", "action", "event_time")
+    fwd = e.select(F.col("user_from").alias("u"), F.col("src").alias("a"), "action", "event_time",
+                   F.col("user_to").alias("u2"), F.col("dst").alias("b"))
+    rev = e.where(F.col("src") != F.col("dst")).select(
+        F.col("user_to").alias("u"), F.col("dst").alias("a"), "action", "event_time",
+        F.col("user_from").alias("u2"), F.col("src").alias("b"))
+    at_a = graph.small(keep.select(F.col("vid").alias("a"), F.col(metric).alias(f"u_{metric}")))
+    at_b = graph.small(keep.select(F.col("vid").alias("b"), F.col(metric).alias(f"u2_{metric}")))
+    return (fwd.unionByName(rev).join(at_a, "a").join(at_b, "b")
+            .select("u", f"u_{metric}", "action", "event_time", "u2", f"u2_{metric}"))
+
+
 def degrees(graph: Graph) -> DataFrame:
     """Out, in and total degree (parallel edges counted) for every user, zeros included."""
     outs = graph.projection.groupBy(F.col("src").alias("vid")).agg(F.sum("w").alias("out_degree"))

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from plexus.functions.columns import calendar_columns, resolve_time_column
 from plexus.operators import communities, gold, paths, silver, triangles
-from plexus.operators.graph import Graph, build_graph, degrees, graph_counts, graph_stats
+from plexus.operators.graph import Graph, build_graph, degrees, graph_counts, graph_stats, undirected_pattern
 from plexus.operators.pagerank import pagerank_run
 from plexus.plans import activity, rankings
-from plexus.plans.oracle import CENTER, COMMUNITY, PATH_TO, TOP_N
+from plexus.plans.oracle import CENTER, COMMUNITY, INFLUENCER_MIN, PATH_TO, TOP_N
 from plexus.session import checkpoint, prepare, scratch_path
 from plexus.sources import tables
 from plexus.sources.events_adapter import interactions
@@ -201,6 +201,13 @@ def q_pattern_one_hop(spark, sf_dir):
     return e.orderBy("u", "u2", "event_time", "action").limit(100)
 
 
+def q_top_influencer_subgraph(spark, sf_dir):
+    scores, _ = _pagerank(spark, sf_dir)
+    sub = undirected_pattern(graph_of(spark, sf_dir), scores, "pagerank", INFLUENCER_MIN)
+    return sub.select("u", F.round("u_pagerank", R).alias("u_pagerank"), "action", "event_time",
+                      "u2", F.round("u2_pagerank", R).alias("u2_pagerank"))
+
+
 # ---------------------------------------------------------------- activity
 
 def _edges_q(fn):
@@ -377,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_list": q_user_list,
     "edge_export": q_edge_export,
     "pattern_one_hop": q_pattern_one_hop,
+    "top_influencer_subgraph": q_top_influencer_subgraph,
     # KPI and activity
     "kpi_summary": _edges_q(activity.kpi_summary),
     "action_distribution": _edges_q(activity.action_distribution),

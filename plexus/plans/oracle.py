@@ -147,6 +147,7 @@ CENTER = "user1"
 PATH_TO = "user10"
 COMMUNITY = 0
 TOP_N = 20
+INFLUENCER_MIN = 0.01  # pagerank threshold at both ends of the influencer pattern
 
 BRONZE_COLS = 'SELECT user_from, user_to, action, "timestamp" FROM bronze'
 SILVER_COLS = ('SELECT user_from, user_to, action, "timestamp", event_time, event_date, event_hour '
@@ -193,6 +194,13 @@ FROM edges ORDER BY source, target, "timestamp", action LIMIT 1000""")
 e.user_to AS u2, vd.vid AS u2_vid
 FROM edges e JOIN vertices vs ON vs."user" = e.user_from JOIN vertices vd ON vd."user" = e.user_to
 ORDER BY u, u2, e.event_time, e.action LIMIT 100""")
+    o["top_influencer_subgraph"] = q_pr(f"""SELECT x.u, round(pu.pagerank, {R}) AS u_pagerank, x.action,
+x.event_time, x.u2, round(pv.pagerank, {R}) AS u2_pagerank
+FROM (SELECT user_from AS u, user_to AS u2, action, event_time FROM edges
+      UNION ALL
+      SELECT user_to, user_from, action, event_time FROM edges WHERE user_from <> user_to) x
+JOIN pagerank pu ON pu."user" = x.u JOIN pagerank pv ON pv."user" = x.u2
+WHERE pu.pagerank > {INFLUENCER_MIN} AND pv.pagerank > {INFLUENCER_MIN}""")
     # ---- KPI and activity
     o["kpi_summary"] = q("""SELECT count(*) AS total_events,
   count(*) FILTER (WHERE action = 'LIKE') AS likes, count(*) FILTER (WHERE action = 'SHARE') AS shares,

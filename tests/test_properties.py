@@ -101,3 +101,24 @@ def test_random_graphs_match_reference(spark, pairs):
     want = ref_triangles(pairs)
     for u in tri:
         assert tri[u] == want.get(u, 0)
+
+
+def test_undirected_pattern_orientations_and_threshold(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from plexus.operators.graph import undirected_pattern
+
+    pairs = [(0, 1), (0, 1), (1, 2), (2, 2), (3, 0)]
+    g = build_graph(_edges_df(spark, pairs))
+    names = {r["user"]: r["vid"] for r in g.vertices.collect()}
+    score = {"user0": 0.5, "user1": 0.3, "user2": 0.2, "user3": 0.005}
+    scores = g.vertices.select("vid", F.col("user")).rdd.map(
+        lambda r: (r["vid"], score[r["user"]])).toDF("vid long, pagerank double")
+    got = Counter((r["u"], r["u2"]) for r in undirected_pattern(g, scores, threshold=0.01).collect())
+    # every kept edge once per orientation, the self-loop once, user3 (below threshold) nowhere
+    want = Counter({("user0", "user1"): 2, ("user1", "user0"): 2, ("user1", "user2"): 1,
+                    ("user2", "user1"): 1, ("user2", "user2"): 1})
+    assert got == want
+    assert set(names) == set(score)
