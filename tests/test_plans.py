@@ -40,3 +40,10 @@ def test_kpi_is_one_aggregation_without_cross_join(spark):
     from plexus.plans import activity
     plan = _plan(activity.kpi_summary(catalog.edges_df(spark, SMALL_SF)))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_influencer_pattern_broadcasts_only_the_vertex_side(spark):
+    plan = _plan(catalog.QUERIES["top_influencer_subgraph"](spark, SMALL_SF))
+    # two joins against the (bounded) score table, both broadcast; no sort-merge join
+    assert plan.count("BroadcastHashJoin") >= 2
+    assert "SortMergeJoin" not in plan
