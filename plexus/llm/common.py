@@ -17,6 +17,8 @@ BROADCAST_ROWS = 500_000
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by any path Spark's readers can open."""
     prepare(spark)
+    # long texts reach Python in small batches
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

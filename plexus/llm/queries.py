@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plexus.llm import quality_rules, url_filter
+from plexus.llm import packing, quality_rules, token_counts, token_files, url_filter
 from plexus.llm.common import table
+from plexus.session import scratch_path
 
 URL_RULES = [
     url_filter.Rule("net", "/", "block"),
@@ -23,8 +26,32 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def word_tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, word_tokenizer(), end_id=1)
+    return token_files.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=2).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES = {
     "op1_url_filters": url_filters,
+    "op3_token_ids": token_ids,
+    "op5_packing": packed,
+    "op6_token_counts": counted,
     "op10_quality_rules": quality,
 }
 
