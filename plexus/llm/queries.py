@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexus.llm import packing, quality_rules, token_counts, token_files, url_filter
+from plexus.llm import packing, quality_rules, simhash, token_counts, token_files, url_filter
 from plexus.llm.common import table
 from plexus.session import scratch_path
 
@@ -47,11 +47,16 @@ def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 QUERIES = {
     "op1_url_filters": url_filters,
     "op3_token_ids": token_ids,
     "op5_packing": packed,
     "op6_token_counts": counted,
+    "op7_simhash_near_dedup": near_duplicates,
     "op10_quality_rules": quality,
 }
 
