@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexus.llm import packing, quality_rules, simhash, token_counts, token_files, url_filter
+from plexus.llm import (
+    decontamination,
+    language_id,
+    packing,
+    quality_rules,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from plexus.llm.common import table
 from plexus.session import scratch_path
 
@@ -51,12 +61,34 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), lambda i: ~toxicity.held_out(i))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.PREDICT, 1).otherwise(0).alias("predicted"), "spans")
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs, lambda i: ~language_id.held_out(i))
+    return language_id.label(docs, model).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def benchmark_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filters": url_filters,
+    "op2_toxicity": toxic,
     "op3_token_ids": token_ids,
+    "op4_language_id": languages,
     "op5_packing": packed,
     "op6_token_counts": counted,
     "op7_simhash_near_dedup": near_duplicates,
+    "op8_decontamination": benchmark_copies,
     "op10_quality_rules": quality,
 }
 
