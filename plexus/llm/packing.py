@@ -37,7 +37,7 @@ WIDTH = 4096
 SENTENCE_PENALTY = 32
 WORD_PENALTY = 256
 STEP = 256
-SPAN = 1 << 22
+SPAN = 1 << 21
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 

@@ -11,6 +11,7 @@ from plexus.llm import (
     language_id,
     packing,
     quality_rules,
+    secret_scan,
     simhash,
     token_counts,
     token_files,
@@ -80,6 +81,10 @@ def benchmark_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": url_filters,
     "op2_toxicity": toxic,
@@ -89,6 +94,7 @@ QUERIES = {
     "op6_token_counts": counted,
     "op7_simhash_near_dedup": near_duplicates,
     "op8_decontamination": benchmark_copies,
+    "op9_secret_scans": secrets,
     "op10_quality_rules": quality,
 }
 

@@ -14,114 +14,114 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 JOINED = 2_000  # words encoded in one call
 
-# Plain words: Latin-1 letters and punctuation after them. Lower-casing and
+# A plain word: Latin-1 letters and punctuation after them. Lower-casing and
 # splitting these by hand gives what the tokenizer's own rules give.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%&*$#|]*)")
+_SPLIT = re.compile(r"(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%&*$#|]*)|([^ ]*)) ")
+_STOPS = (".", "!", "?", "\n")
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
 class _Index(dict):
-    """word -> number; unknown words get the next number and wait in ``new``."""
+    """key -> number; unknown keys get the next number and wait in ``new``."""
 
     def __init__(self):
         self.new: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
         return n
 
 
+def _grow(a: np.ndarray, n: int) -> np.ndarray:
+    while len(a) < n:
+        a = np.concatenate([a, np.zeros_like(a)])
+    return a
+
+
 class WordEncoder:
+    """A word is two runs of ids, its letters and the punctuation after them."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for piece, i in self.tokenizer.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
-        self.tails: dict[str, list[int]] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.index, self.bases = _Index(), {}
+        self.words, self.runs = _Index(), _Index()
         self.flat, self.used = np.zeros(1 << 16, np.uint16), 0
-        self.offset, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.stops = np.zeros(1 << 14, bool)
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _letters(self, words: list[str]) -> None:
-        """ids of words of small letters: each is one run, its last piece ends a word."""
-        for k in range(0, len(words), JOINED):
-            part = words[k:k + JOINED]
-            ids = np.array(self._encode([" ".join(part)])[0])
+        self.offset, self.length = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+        self.parts, self.stops = np.zeros((1 << 14, 2), np.int32), np.zeros(1 << 14, bool)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _store(self, first: int, ids: np.ndarray, lens: np.ndarray) -> None:
+        n = first + len(lens)
+        self.offset, self.length = _grow(self.offset, n), _grow(self.length, n)
+        self.flat = _grow(self.flat, self.used + len(ids))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.length[first:n] = lens
+        self.offset[first:n] = self.used + np.cumsum(lens) - lens
+        self.used += len(ids)
+
+    def _learn_runs(self) -> None:
+        new, self.runs.new = self.runs.new, []
+        first = len(self.runs) - len(new)
+        for k in range(0, len(new), JOINED):
+            part = new[k:k + JOINED]
+            ids = np.array(self._encode([" ".join(part)])[0], np.int64)
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                self.bases.update(zip(part, np.split(ids, cuts[:-1]), strict=True))
-            else:
-                self.bases.update(zip(part, self._encode(part), strict=True))
+            # runs of letters end with a word piece; others are told apart one by one
+            if len(cuts) != len(part) or not all(map(str.isalpha, part)):
+                each = self._encode(part)
+                ids = np.array([i for e in each for i in e], np.int64)
+                cuts = np.cumsum([len(e) for e in each])
+            self._store(first + k, ids, np.diff(cuts, prepend=0))
 
     def _learn(self) -> None:
-        new, self.index.new = self.index.new, []
-        first = len(self.index) - len(new)
-        plain = [_PLAIN.fullmatch(w) for w in new]
-        lower = [m and m[1].lower() for m in plain]
-        self._letters(list({b for b in lower if b and b not in self.bases}))
-        odd = [w for w, m in zip(new, plain, strict=True) if not m]
-        whole = dict(zip(odd, self._encode(odd), strict=True)) if odd else {}
-        ids = []
-        for w, m, b in zip(new, plain, lower, strict=True):
-            if not m:
-                ids.append(whole[w])
-                continue
-            tail = m[2]
-            if not tail:
-                ids.append(self.bases[b])
-                continue
-            if tail not in self.tails:
-                if len(self.tails) > CACHE_WORDS:
-                    self.tails.clear()
-                self.tails[tail] = self._encode([tail])[0]
-            ids.append([*self.bases[b], *self.tails[tail]])
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lens.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        if total:
-            self.flat[self.used:self.used + total] = np.concatenate([np.asarray(x, np.uint16) for x in ids])
-        while len(self.index) > len(self.offset):
-            self.offset, self.length, self.stops = (
-                np.concatenate([a, np.zeros_like(a)]) for a in (self.offset, self.length, self.stops))
-        here = slice(first, first + len(new))
-        self.length[here] = lens
-        self.offset[here] = self.used + np.cumsum(lens) - lens
-        self.stops[here] = [w[-1:] in (".", "!", "?", "\n") for w in new]
-        self.used += total
+        new, self.words.new = self.words.new, []
+        first, n = len(self.words) - len(new), len(self.words)
+        # odd words first, so that most calls see letters only
+        split = _SPLIT.findall(" ".join(new) + " ")
+        run = self.runs.__getitem__
+        tails = [run(t) for _, t, _ in split]
+        odd = [run(o) for _, _, o in split]
+        self._learn_runs()
+        heads = [run(b.lower()) if b else o for (b, _, _), o in zip(split, odd, strict=True)]
+        self._learn_runs()
+        self.parts, self.stops = _grow(self.parts, n), _grow(self.stops, n)
+        self.parts[first:n, 0], self.parts[first:n, 1] = heads, tails
+        self.stops[first:n] = [w.endswith(_STOPS) for w in new]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts in a row, ids per text, words per text, and per word its id
         count and whether a sentence ends with it."""
-        if len(self.index) > CACHE_WORDS:
+        if len(self.words) > CACHE_WORDS:
             self.reset()
-        words: list[str] = []
-        per_text = np.zeros(len(texts), np.int64)
+        per_text, found = np.zeros(len(texts), np.int64), []
+        get = self.words.__getitem__
         for i, t in enumerate(texts):
             w = t.replace("\n", " \n ").split(" ")
             per_text[i] = len(w)
-            words += w
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        if self.index.new:
+            found.append(np.fromiter(map(get, w), np.int32, len(w)))
+        at = np.concatenate(found) if found else np.zeros(0, np.int32)
+        if self.words.new:
             self._learn()
-        lens = self.length[at]
-        ends = np.cumsum(lens)
-        ids = self.flat[np.repeat(self.offset[at] - (ends - lens), lens) + np.arange(int(lens.sum()))]
-        up_to = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text)])]
-        return ids, np.diff(up_to), per_text, lens, self.stops[at]
+        run = self.parts[at].reshape(-1)
+        lens = self.length[run]
+        ends = np.cumsum(lens, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.repeat((self.offset[run] - (ends - lens)), lens) + np.arange(total)]
+        up_to = np.concatenate([[0], ends[1::2]])[np.concatenate([[0], np.cumsum(per_text)])]
+        return ids, np.diff(up_to), per_text, lens.reshape(-1, 2).sum(1, dtype=np.int64), self.stops[at]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -131,7 +131,7 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def chunks(batches, id_col: int, text_col: int, size: int = 1 << 22) -> Iterator[tuple[list, list[str]]]:
+def chunks(batches, id_col: int, text_col: int, size: int = 1 << 21) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) of Arrow batches in pieces of about ``size`` characters; null text is empty."""
     ids, texts, n = [], [], 0
     for b in batches:
