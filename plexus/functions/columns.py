@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plexus.schemas import ENGAGING_ACTIONS, TIME_CANDIDATES, TIME_FORMAT
+from plexus.schemas import TIME_CANDIDATES, TIME_FORMAT
 
 
 def parse_time(c: Column, fmt: str | None = TIME_FORMAT) -> Column:
@@ -45,10 +45,6 @@ def calendar_columns(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     )
 
 
-def is_engaging(action: Column) -> Column:
-    return action.isin(*ENGAGING_ACTIONS)
-
-
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den, 0 when den is 0 or null."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))

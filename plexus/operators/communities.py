@@ -8,17 +8,15 @@ Q = sum over communities c of [ in(c) / 2m - (tot(c) / 2m)^2 ].
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import itertools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plexus.operators.graph import BROADCAST_ROWS, Graph, undirected
+from plexus.operators.graph import Graph, small_rows, undirected
 from plexus.session import checkpoint, drop_table, observation
 
 
-def _small(df: DataFrame, bound: int) -> DataFrame:
-    return F.broadcast(df) if bound <= BROADCAST_ROWS else df
-
-
 # ---------------------------------------------------------------- modularity
 
 def modularity_of(sym: DataFrame, labels: DataFrame, node: str = "vid", label: str = "c") -> DataFrame:
@@ -58,11 +56,11 @@ def label_propagation_run(graph: Graph, max_iter: int = 10):
     the label with the largest total edge weight among its neighbours (self-loops
     are not votes; ties -> smallest label); users without neighbours keep theirs.
     Stops when no label changes or after ``max_iter`` rounds."""
-    sym = undirected(graph.projection).where(F.col("src") != F.col("dst"))
+    sym = checkpoint(undirected(graph.projection).where(F.col("src") != F.col("dst")))
     labels = checkpoint(graph.vertices.select("vid", F.col("vid").alias("label")))
     ran = 0
     for it in range(1, max_iter + 1):
-        votes = (sym.join(_small(labels, graph.n_vertices).select(F.col("vid").alias("dst"), "label"), "dst")
+        votes = (sym.join(small_rows(labels, graph.n_vertices).select(F.col("vid").alias("dst"), "label"), "dst")
                  .groupBy("src", "label").agg(F.sum("w").alias("score")))
         best = (votes.groupBy(F.col("src").alias("vid"))
                 .agg(F.max(F.struct("score", (-F.col("label")).alias("neg"))).alias("b"))
@@ -77,7 +75,8 @@ def label_propagation_run(graph: Graph, max_iter: int = 10):
         ran = it
         if int(obs.get["changed"] or 0) == 0:
             break
-    return labels, {"ranIterations": ran, "maxIterations": max_iter}
+    drop_table(sym)
+    return labels, {"ran_iterations": ran, "max_iterations": max_iter}
 
 
 def label_propagation(graph: Graph, max_iter: int = 10) -> DataFrame:
@@ -87,72 +86,99 @@ def label_propagation(graph: Graph, max_iter: int = 10) -> DataFrame:
 
 # ---------------------------------------------------------------- Louvain
 
-def _hash_half(node: Column, level: int, rnd: int) -> Column:
-    """Deterministic pseudo-random half of the nodes for one round."""
-    return (F.xxhash64(node, F.lit(level), F.lit(rnd)) % 2) == 0
-
-
-def _local_moves(sym: DataFrame, nodes: DataFrame, n_nodes: int, two_m: float, level: int,
-                 max_rounds: int, tol: float):
-    """Parallel local moving on one level. ``nodes``: (n, k). Returns (comm (n, c), Q, moved?).
-
-    In each round only a hashed half of the nodes may move (this breaks the
-    swap cycles of fully synchronous moves), a move needs a strictly positive
-    gain, ties go to the smallest label, and a round is kept only when the
-    modularity rises by more than ``tol`` (Q never falls).
+MOST_PARTS = 64
+
+
+def _proposals(off: DataFrame, comm: DataFrame, n_nodes: int, two_m: float) -> DataFrame:
+    """(n, k, c, to, gain, stay): the best community of each node and what the move gains
+    over staying (in units of weight; 2 / 2m of it is the change of Q). Ties: smallest label."""
+    tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
+    kin = (off.join(small_rows(comm.select(F.col("n").alias("dst"), F.col("c").alias("cv")), n_nodes), "dst")
+           .groupBy(F.col("src").alias("n"), "cv").agg(F.sum("w").alias("kin")))
+    me = comm.select("n", F.col("c").alias("cu"), "k")
+    # candidate communities of each node: its neighbours' and its own
+    cand = (kin.unionByName(me.select("n", F.col("cu").alias("cv"), F.lit(0).cast("long").alias("kin")))
+            .groupBy("n", "cv").agg(F.sum("kin").alias("kin")))
+    own = F.when(F.col("cv") == F.col("cu"), F.col("k")).otherwise(F.lit(0))
+    cand = (cand.join(small_rows(me, n_nodes), "n")
+            .join(small_rows(tot.select(F.col("c").alias("cv"), "tot"), n_nodes), "cv")
+            .select("n", "cu", "cv", "k", (F.col("kin") - F.col("k") * (F.col("tot") - own) / F.lit(two_m)).alias("gain")))
+    best = (cand.groupBy("n", "cu", "k")
+            .agg(F.max(F.struct("gain", (-F.col("cv")).alias("neg"))).alias("b"),
+                 F.max(F.when(F.col("cv") == F.col("cu"), F.col("gain"))).alias("stay")))
+    return best.select("n", "k", F.col("cu").alias("c"), (-F.col("b.neg")).alias("to"),
+                       (F.col("b.gain") - F.col("stay")).alias("gain"), "stay")
+
+
+def _apart(moves: DataFrame) -> DataFrame:
+    """Of all moves (n, k, c, to, gain) those that are best at both their communities: no
+    two of them touch the same community, so their gains add up exactly."""
+    rank = F.struct("gain", (-F.col("n")).alias("neg"))
+    ends = moves.select(F.explode(F.array("c", "to")).alias("at"), rank.alias("r"))
+    top = ends.groupBy("at").agg(F.max("r").alias("top"))
+    return (moves.withColumn("r", rank)
+            .join(top.select(F.col("at").alias("c"), F.col("top").alias("t1")), "c")
+            .join(top.select(F.col("at").alias("to"), F.col("top").alias("t2")), "to")
+            .where((F.col("r") == F.col("t1")) & (F.col("r") == F.col("t2"))).select("n", F.lit(True).alias("goes")))
+
+
+def _local_moves(sym: DataFrame, nodes: DataFrame, n_nodes: int, two_m: float, level: int, tol: float):
+    """Parallel local moving on one level, until no single move gains more than ``tol`` in
+    Q. ``nodes``: (n, k), written. Returns (table with n and c, Q, moved?).
+
+    A round is one job: it applies moves of the last proposals and writes the next ones,
+    while it observes what Q the moves led to (the sum of what all nodes lose by
+    leaving, up to a constant) and which hash classes still have nodes that would gain
+    (at most MOST_PARTS numbers). Only one of ``parts`` classes moves in a round (all at
+    once would swap for ever), each in its turn; if the joint effect lowers Q, the
+    last proposals are taken up again with twice as many classes. Above
+    MOST_PARTS classes only moves that touch no common community are made, whose
+    gains add up, so those rounds always rise.
     """
     off = sym.where(F.col("src") != F.col("dst"))
-    comm = checkpoint(nodes.select("n", F.col("n").alias("c"), "k"))
-    q = modularity_of(sym, comm, node="n", label="c").first()["modularity"]
-    moved_any = False
-    fails = 0
-    for rnd in range(max_rounds):
-        small_comm = _small(comm, n_nodes)
-        tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
-        kin = (off.join(small_comm.select(F.col("n").alias("dst"), F.col("c").alias("cv")), "dst")
-               .groupBy(F.col("src").alias("n"), "cv").agg(F.sum("w").alias("kin")))
-        me = comm.select("n", F.col("c").alias("cu"), "k")
-        # candidate communities of each node: its neighbours' and its own
-        cand = (kin.unionByName(me.select("n", F.col("cu").alias("cv"), F.lit(0).cast("long").alias("kin")))
-                .groupBy("n", "cv").agg(F.sum("kin").alias("kin")))
-        cand = (cand.join(me, "n").join(_small(tot, n_nodes).select(F.col("c").alias("cv"), "tot"), "cv")
-                .select("n", "cu", "cv", "k",
-                        (F.col("kin") - F.col("k") *
-                         (F.col("tot") - F.when(F.col("cv") == F.col("cu"), F.col("k")).otherwise(F.lit(0)))
-                         / F.lit(two_m)).alias("gain")))
-        best = (cand.groupBy("n", "cu", "k")
-                .agg(F.max(F.struct("gain", (-F.col("cv")).alias("neg"))).alias("b"),
-                     F.max(F.when(F.col("cv") == F.col("cu"), F.col("gain"))).alias("stay")))
-        move = (_hash_half(F.col("n"), level, rnd) & (F.col("b.gain") > F.col("stay") + F.lit(1e-12))
-                & ((-F.col("b.neg")) != F.col("cu")))
+    sums = (sym.agg(F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0)).cast("double").alias("loops"))
+            .crossJoin(nodes.agg(F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"))).first())  # one row each
+    base = float(sums["loops"] or 0) - float(sums["squares"] or 0) / two_m
+    gains = (F.col("gain") * (2 / two_m) > tol) & (F.col("to") != F.col("c"))
+    hashed = F.xxhash64("n", F.lit(level))
+
+    def propose(comm: DataFrame):
         obs = observation("louvain")
-        proposal = checkpoint(best.select(
-            "n", "k", F.when(move, -F.col("b.neg")).otherwise(F.col("cu")).alias("c"),
-            move.alias("moved")).observe(obs, F.count_if("moved").alias("moved")))
-        if int(obs.get["moved"] or 0) == 0:
-            drop_table(proposal)
-            fails += 1
-            if fails >= 2:
-                break
-            continue
-        q_new = modularity_of(sym, proposal, node="n", label="c").first()["modularity"]
-        if q_new > q + tol:
-            drop_table(comm)
-            comm, q, moved_any, fails = proposal.select("n", "c", "k"), q_new, True, 0
+        out = checkpoint(_proposals(off, comm, n_nodes, two_m).observe(
+            obs, F.sum("stay").alias("stay"), F.collect_set(F.when(gains, F.pmod(hashed, F.lit(MOST_PARTS)))).alias("classes")))
+        got = obs.get
+        return out, (float(got["stay"] or 0) + base) / two_m, got["classes"] or []
+
+    moves, q, classes = propose(nodes.select("n", F.col("n").alias("c"), "k"))
+    moved, parts, turn = False, 2, 0
+    while classes:
+        if parts <= MOST_PARTS:
+            turn = min({c % parts for c in classes}, key=lambda c: (c - turn) % parts)
+            chosen = moves.withColumn("goes", gains & (F.pmod(hashed, F.lit(parts)) == turn))
         else:
-            drop_table(proposal)
-            fails += 1
-            if fails >= 2:
+            chosen = moves.join(_apart(moves.where(gains)), "n", "left").withColumn("goes", F.coalesce("goes", F.lit(False)))
+        nxt, q_new, left = propose(chosen.select(
+            "n", F.when(F.col("goes"), F.col("to")).otherwise(F.col("c")).alias("c"), "k"))
+        if q_new > q:
+            drop_table(moves)
+            moves, q, classes, moved = nxt, q_new, left, True
+            turn += 1
+        else:
+            drop_table(nxt)
+            if parts > MOST_PARTS:  # what is left is below the precision of Q
                 break
-    return comm, q, moved_any
+            parts *= 2
+    return moves, q, moved
 
 
-def louvain_run(graph: Graph, max_levels: int = 10, max_rounds: int = 5, tol: float = 1e-7):
+def louvain_run(graph: Graph, max_levels: int | None = None, tol: float = 1e-7):
     """Multi-level Louvain. Returns (labels (vid, community), summary).
 
     Level loop: local moves, then contraction of each community into one node
-    (internal weight becomes a self-loop). Labels are the smallest member vid of
-    each final community. Every table is checkpointed; nothing is collected.
+    (internal weight becomes a self-loop), until a level moves nothing. Labels are the
+    smallest member vid of each final community. Every table is checkpointed;
+    nothing is collected. ``max_levels`` stops earlier on request, which the summary
+    says in ``converged``.
     """
     sym = checkpoint(undirected(graph.projection))
     two_m = float(sym.agg(F.sum("w")).first()[0] or 0.0)
@@ -161,30 +187,34 @@ def louvain_run(graph: Graph, max_levels: int = 10, max_rounds: int = 5, tol: fl
     levels_q = []
     if two_m == 0:
         labels = graph.vertices.select("vid", F.col("vid").alias("community"))
-        return labels, {"communityCount": n_nodes, "modularity": 0.0, "ranLevels": 0, "modularities": []}
-    for level in range(max_levels):
-        nodes = sym.groupBy(F.col("src").alias("n")).agg(F.sum("w").alias("k"))
-        comm, q, moved = _local_moves(sym, nodes, n_nodes, two_m, level, max_rounds, tol)
+        return labels, {"community_count": n_nodes, "modularity": 0.0, "ran_levels": 0, "modularities": [], "converged": True}
+    converged = False
+    for level in itertools.count():
+        if max_levels is not None and level >= max_levels:
+            break
+        nodes = checkpoint(sym.groupBy(F.col("src").alias("n")).agg(F.sum("w").alias("k")))
+        comm, q, moved = _local_moves(sym, nodes, n_nodes, two_m, level, tol)
         if not moved:
+            converged = True
             if not levels_q:
                 levels_q.append(q)
             break
         levels_q.append(q)
         cmap = comm.select("n", "c")
         old_member, old_sym = member, sym
-        member = checkpoint(member.join(_small(cmap, n_nodes), "n").select("vid", F.col("c").alias("n")))
+        member = checkpoint(member.join(small_rows(cmap, n_nodes), "n").select("vid", F.col("c").alias("n")))
         sym = checkpoint(
-            sym.join(_small(cmap.select(F.col("n").alias("src"), F.col("c").alias("cs")), n_nodes), "src")
-            .join(_small(cmap.select(F.col("n").alias("dst"), F.col("c").alias("cd")), n_nodes), "dst")
+            sym.join(small_rows(cmap.select(F.col("n").alias("src"), F.col("c").alias("cs")), n_nodes), "src")
+            .join(small_rows(cmap.select(F.col("n").alias("dst"), F.col("c").alias("cd")), n_nodes), "dst")
             .groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")))
         n_nodes = comm.select("c").distinct().count()
-        for done in (comm, old_member, old_sym):
+        for done in (comm, old_member, old_sym, nodes):
             drop_table(done)
     labels = member.groupBy("n").agg(F.min("vid").alias("community"))
     labels = checkpoint(member.join(labels, "n").select("vid", "community"))
     n_comm = labels.select("community").distinct().count()
-    return labels, {"communityCount": n_comm, "modularity": levels_q[-1] if levels_q else 0.0,
-                    "ranLevels": len(levels_q), "modularities": levels_q}
+    return labels, {"community_count": n_comm, "modularity": levels_q[-1] if levels_q else 0.0,
+                    "ran_levels": len(levels_q), "modularities": levels_q, "converged": converged}
 
 
 def louvain(graph: Graph, **kw) -> DataFrame:

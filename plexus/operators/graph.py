@@ -10,14 +10,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.session import materialize, observation
+from plexus.session import materialize, observation, written_bytes
 
-# A side is broadcast only when its row count has been counted and is below this.
-BROADCAST_ROWS = 4_000_000
+# A side is broadcast only when its size is known and below this: fixed-width rows by
+# their count, tables with names by the bytes of their written files.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 32  # a row of up to three numbers
+TEXT_GROWTH = 4  # rows in memory next to their Parquet files
+
+
+def small_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table of numbers only while ``rows`` (counted) keep it small."""
+    return F.broadcast(df) if rows * ROW_BYTES <= BROADCAST_BYTES else df
 
 
 def dense_index(df: DataFrame, col: str, out_col: str = "vid") -> DataFrame:
@@ -41,9 +48,8 @@ def dense_index(df: DataFrame, col: str, out_col: str = "vid") -> DataFrame:
 
 
 def vertex_ids(edges: DataFrame) -> DataFrame:
-    """Distinct users of both ends (null ends excluded)."""
-    ends = (edges.select(F.col("user_from").alias("user"))
-            .union(edges.select(F.col("user_to").alias("user"))))
+    """Distinct users of both ends (null ends excluded), from one scan."""
+    ends = edges.select(F.explode(F.array("user_from", "user_to")).alias("user"))
     return ends.where(F.col("user").isNotNull()).distinct()
 
 
@@ -77,35 +83,32 @@ class Graph:
     n_vertices: int
     n_pairs: int
     n_edges: int
+    vertex_bytes: int        # of the written vertex table, names included
 
     def small(self, df: DataFrame, rows: int | None = None) -> DataFrame:
-        """Broadcast ``df`` only when its (counted) size bound is under the limit."""
-        bound = self.n_vertices if rows is None else rows
-        return F.broadcast(df) if bound <= BROADCAST_ROWS else df
+        """Broadcast a table of numbers (one row a user, or ``rows``) while it is small."""
+        return small_rows(df, self.n_vertices if rows is None else rows)
 
     def user_names(self, df: DataFrame, on: str = "vid", as_col: str = "user") -> DataFrame:
         """Attach user ids to a vid-keyed result."""
-        names = self.small(self.vertices.select(F.col("vid").alias(on), F.col("user").alias(as_col)))
+        names = self.vertices.select(F.col("vid").alias(on), F.col("user").alias(as_col))
+        if self.vertex_bytes * TEXT_GROWTH <= BROADCAST_BYTES:
+            names = F.broadcast(names)
         return df.join(names, on)
 
-    def by_src(self, df: DataFrame, key: str = "src") -> DataFrame:
-        """Hash-partition and keep an edge-sized table by ``src`` so loop joins shuffle only
-        the (smaller) changing side. Executor loss recomputes it from the written table."""
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
-
 
 def build_graph(edges: DataFrame) -> Graph:
-    """Gold edges -> vertices (dense ids), resolved edges and the weighted projection."""
-    vertices = materialize(dense_index(vertex_ids(edges), "user", "vid"), "vertices")
-    resolved = resolve_edges(edges, vertices)
-    obs = observation("pairs")
-    projection, metrics = materialize(weighted_projection(resolved), "projection",
-                                      observe=(obs, F.count(F.lit(1)).alias("pairs"),
-                                               F.sum("w").alias("edges")))
-    n_vertices = vertices.count()
-    return Graph(vertices=vertices, edges=resolved, projection=projection, n_vertices=n_vertices,
-                 n_pairs=int(metrics["pairs"]), n_edges=int(metrics["edges"] or 0))
+    """Gold edges -> vertices (dense ids), resolved edges and the weighted projection,
+    each written once; the counts are observed on the writes. ``edges`` is read twice
+    (for its users, and to resolve it), so pass a written table."""
+    v_obs, e_obs, p_obs = observation("vertices"), observation("edges"), observation("pairs")
+    rows = F.count(F.lit(1)).alias("n")
+    vertices, v = materialize(dense_index(vertex_ids(edges), "user", "vid"), "vertices", observe=(v_obs, rows))
+    resolved, e = materialize(resolve_edges(edges, vertices), "edges", observe=(e_obs, rows))
+    projection, p = materialize(weighted_projection(resolved), "projection", observe=(p_obs, rows))
+    vertex_bytes = sum(written_bytes(vertices.sparkSession, f.rsplit("/", 1)[0]) for f in vertices.inputFiles()[:1])
+    return Graph(vertices=vertices, edges=resolved, projection=projection, n_vertices=int(v["n"]),
+                 n_pairs=int(p["n"]), n_edges=int(e["n"]), vertex_bytes=vertex_bytes)
 
 
 # ---------------------------------------------------------------- simple statistics
@@ -115,20 +118,21 @@ def undirected_pattern(graph: Graph, scores: DataFrame, metric: str = "pagerank"
     """``(u)-[r]-(u2)`` with ``metric > threshold`` at both ends, matched without
     direction: every edge row comes out once per orientation, a self-loop once.
 
-    Rows: (u, u_<metric>, action, event_time, u2, u2_<metric>). The edge table is
-    read once per orientation (a union, no self-join); the vertex-sized score
-    table is broadcast only under the counted vertex bound.
+    Rows: (u, u_<metric>, action, event_time, u2, u2_<metric>). The written edge table
+    is read once, each row exploded into its orientations; the vertex-sized score
+    table is broadcast only while it is small.
     """
     keep = scores.where(F.col(metric) > threshold).select("vid", metric)
     e = graph.edges.select("user_from", "user_to", "src", "dst", "action", "event_time")
-    fwd = e.select(F.col("user_from").alias("u"), F.col("src").alias("a"), "action", "event_time",
-                   F.col("user_to").alias("u2"), F.col("dst").alias("b"))
-    rev = e.where(F.col("src") != F.col("dst")).select(
-        F.col("user_to").alias("u"), F.col("dst").alias("a"), "action", "event_time",
-        F.col("user_from").alias("u2"), F.col("src").alias("b"))
+    def side(u: str, a: str, u2: str, b: str):
+        return F.struct(F.col(u).alias("u"), F.col(a).alias("a"), F.col(u2).alias("u2"), F.col(b).alias("b"))
+
+    fwd, rev = side("user_from", "src", "user_to", "dst"), side("user_to", "dst", "user_from", "src")
+    both = F.when(F.col("src") == F.col("dst"), F.array(fwd)).otherwise(F.array(fwd, rev))
+    rows = e.select("action", "event_time", F.explode(both).alias("o")).select("action", "event_time", "o.*")
     at_a = graph.small(keep.select(F.col("vid").alias("a"), F.col(metric).alias(f"u_{metric}")))
     at_b = graph.small(keep.select(F.col("vid").alias("b"), F.col(metric).alias(f"u2_{metric}")))
-    return (fwd.unionByName(rev).join(at_a, "a").join(at_b, "b")
+    return (rows.join(at_a, "a").join(at_b, "b")
             .select("u", f"u_{metric}", "action", "event_time", "u2", f"u2_{metric}"))
 
 
@@ -154,12 +158,10 @@ def graph_counts(graph: Graph) -> DataFrame:
                       "distinct_pairs")
 
 
-def graph_stats(graph: Graph, max_edges: int | None = None) -> DataFrame:
+def graph_stats(graph: Graph) -> DataFrame:
     """Simple-digraph statistics: nodes, edges (distinct pairs), density m/(n(n-1)),
-    mean degree 2m/n. ``max_edges`` reproduces a sampled drawing; default: all edges."""
+    mean degree 2m/n."""
     pairs = graph.projection.select("src", "dst")
-    if max_edges is not None:
-        pairs = pairs.orderBy("src", "dst").limit(max_edges)
     n = F.lit(graph.n_vertices).cast("double")
     m = pairs.agg(F.count(F.lit(1)).alias("m"))
     return m.select(

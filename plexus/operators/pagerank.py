@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plexus.operators.graph import BROADCAST_ROWS, Graph
+from plexus.operators.graph import Graph
 from plexus.session import checkpoint, drop_table, materialize, observation
 
 
@@ -29,26 +29,22 @@ def transition(graph: Graph) -> DataFrame:
 def pagerank_run(graph: Graph, damping: float = 0.85, max_iter: int = 20, tol: float = 1e-7):
     """Returns (scores DataFrame(vid, pagerank), summary dict).
 
-    Each round joins only the *active* deltas to the transition table. When the
-    vertex count is under the broadcast bound the deltas are broadcast and the
-    edge table is never shuffled; otherwise the transition table is kept
-    partitioned by ``src`` and only the deltas move. Per-destination sums are
+    Each round joins only the *active* deltas to the transition table. While the
+    deltas are small they are broadcast and the edge table is never shuffled;
+    beyond that both sides shuffle by ``src``, and as nothing fixes the partitions
+    adaptive execution can split a hub's out-list. Per-destination sums are
     partially aggregated before the shuffle, so a hub receiving a third of all
     edges costs one partial row per map task. Each round is written to the shared
     checkpoint folder (lineage stays one round deep), and the convergence test is
     an observed metric of that same write.
     """
     trans = transition(graph)
-    broadcast_state = graph.n_vertices <= BROADCAST_ROWS
-    if not broadcast_state:
-        trans = graph.by_src(trans)
     base = 1.0 - damping
     state = graph.vertices.select("vid", F.lit(base).alias("p"), F.lit(base).alias("d"))
     ran = 0
     for step in range(1, max_iter + 1):
         active = state.where(F.col("d") > tol).select(F.col("vid").alias("src"), "d")
-        active = F.broadcast(active) if broadcast_state else active
-        msgs = trans.join(active, "src").select(
+        msgs = trans.join(graph.small(active), "src").select(
             F.col("dst").alias("vid"), F.lit(0.0).alias("p"), (F.col("d") * F.col("c")).alias("m"))
         # One aggregation folds the old score and the incoming messages together:
         # no second join back to the state.
@@ -62,10 +58,8 @@ def pagerank_run(graph: Graph, damping: float = 0.85, max_iter: int = 20, tol: f
         ran = step
         if int(obs.get["active"] or 0) == 0:
             break
-    if not broadcast_state:
-        trans.unpersist()
-    summary = {"nodePropertiesWritten": graph.n_vertices, "ranIterations": ran,
-               "dampingFactor": damping, "maxIterations": max_iter, "tolerance": tol}
+    summary = {"node_properties_written": graph.n_vertices, "ran_iterations": ran,
+               "damping_factor": damping, "max_iterations": max_iter, "tolerance": tol}
     return state.select("vid", F.col("p").alias("pagerank")), summary
 
 

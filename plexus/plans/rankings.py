@@ -48,29 +48,35 @@ def _present(name: str) -> Column:
     return F.when(c.isNull() | F.isnan(c.cast("double")), F.lit(None)).otherwise(c)
 
 
+def present(metrics: DataFrame) -> DataFrame:
+    """The metrics with NaN read as null; every ranking and statistic starts here."""
+    names = [c for c in ("pagerank", "betweenness", "community_louvain") if c in metrics.columns]
+    return metrics.withColumns({c: _present(c) for c in names})
+
+
 def export_metrics(metrics: DataFrame) -> DataFrame:
     """Coalesced metrics (0, 0, -1), ordered by the *raw* pagerank, nulls first
     (NaN counts as missing)."""
-    return metrics.select(
-        "user",
-        F.coalesce(_present("pagerank"), F.lit(0.0)).alias("pagerank"),
-        F.coalesce(_present("betweenness"), F.lit(0.0)).alias("betweenness"),
-        F.coalesce(_present("community_louvain"), F.lit(-1)).cast("long").alias("community_louvain"),
-        _present("pagerank").alias("_raw"),
+    m = present(metrics)
+    return m.select(
+        "user", F.coalesce("pagerank", F.lit(0.0)).alias("pagerank"),
+        F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"),
+        F.coalesce("community_louvain", F.lit(-1)).cast("long").alias("community_louvain"),
+        F.col("pagerank").alias("_raw"),
     ).orderBy(F.col("_raw").desc_nulls_first(), "user").drop("_raw")
 
 
 def top_by(metrics: DataFrame, metric: str = "pagerank", n: int = 10, cols: list[str] | None = None) -> DataFrame:
-    """Top ``n`` users by ``metric`` (ties by user id), values rounded for display."""
+    """Top ``n`` users by ``metric`` (ties by user id, missing last), values rounded for display."""
     cols = cols or [metric]
-    return (metrics.orderBy(F.desc(metric), "user").limit(n)
+    return (present(metrics).orderBy(F.col(metric).desc_nulls_last(), "user").limit(n)
             .select("user", *[F.round(c, ROUND).alias(c) for c in cols]))
 
 
 def influence_score(metrics: DataFrame, n: int = 20) -> DataFrame:
     """pagerank + betweenness / 1000 over users having both, top ``n``."""
     keep = [c for c in ("community_louvain",) if c in metrics.columns]
-    scored = (metrics.where(F.col("pagerank").isNotNull() & F.col("betweenness").isNotNull())
+    scored = (present(metrics).where(F.col("pagerank").isNotNull() & F.col("betweenness").isNotNull())
               .withColumn("influence_score", F.col("pagerank") + F.col("betweenness") / 1000))
     return (scored.orderBy(F.desc("influence_score"), "user").limit(n)
             .select("user", F.round("pagerank", ROUND).alias("pagerank"),
@@ -81,23 +87,16 @@ def influence_score(metrics: DataFrame, n: int = 20) -> DataFrame:
 def user_rank(metrics: DataFrame, metric: str = "pagerank") -> DataFrame:
     """Every user's rank by ``metric`` (descending, average rank on ties, truncated;
     NaN is missing and ranks last with the nulls)."""
-    return (average_rank_desc(metrics.select("user", _present(metric).alias(metric)), metric)
+    return (average_rank_desc(present(metrics).select("user", metric), metric)
             .select("user", F.round(metric, ROUND).alias(metric), "rank"))
 
 
 def user_profile(metrics: DataFrame, user: str, metric: str = "pagerank") -> DataFrame:
-    """One user's metrics and rank. The rank is 1 + #greater + (#equal - 1) / 2,
-    truncated: one filtered aggregate, no window."""
-    me = metrics.where(F.col("user") == user)
-    row = me.select(metric).first()
-    mine = F.lit(row[0] if row else None).cast("double")
-    pos = metrics.agg(F.count_if(F.col(metric) > mine).alias("_gt"),
-                      F.count_if(F.col(metric) == mine).alias("_eq")).first()
-    rank = int(1 + pos["_gt"] + (pos["_eq"] - 1) / 2.0) if row else None
+    """One user's metrics and the rank that ``user_rank`` gives them."""
     cols = [c for c in ("pagerank", "betweenness", "community_louvain") if c in metrics.columns]
-    return (me.withColumn("rank", F.lit(rank).cast("long"))
-            .select("user", *[F.round(c, ROUND).alias(c) if c != "community_louvain" else F.col(c)
-                              for c in cols], "rank"))
+    ranks = user_rank(metrics, metric).where(F.col("user") == user).select("user", "rank")
+    return (present(metrics).where(F.col("user") == user).join(ranks, "user")
+            .select("user", *[F.round(c, ROUND).alias(c) if c != "community_louvain" else F.col(c) for c in cols], "rank"))
 
 
 def metric_stats(metrics: DataFrame, names: tuple[str, ...] = ("pagerank", "betweenness")) -> DataFrame:
@@ -106,7 +105,7 @@ def metric_stats(metrics: DataFrame, names: tuple[str, ...] = ("pagerank", "betw
     for m in names:
         aggs += [F.min(m).alias(f"{m}__min"), F.max(m).alias(f"{m}__max"),
                  F.avg(m).alias(f"{m}__avg"), F.stddev_samp(m).alias(f"{m}__std")]
-    one = metrics.agg(*aggs)
+    one = present(metrics).agg(*aggs)
     rows = [F.struct(F.lit(m).alias("metric"),
                      *[F.round(F.col(f"{m}__{s}"), ROUND).alias(s) for s in ("min", "max", "avg", "std")])
             for m in names]
@@ -115,30 +114,36 @@ def metric_stats(metrics: DataFrame, names: tuple[str, ...] = ("pagerank", "betw
 
 def top_n_stats(metrics: DataFrame, metric: str = "pagerank", n: int = 20) -> DataFrame:
     """Over the top ``n`` by ``metric``: the top user, mean and sample std."""
-    top = metrics.orderBy(F.desc(metric), "user").limit(n)
-    return top.agg(F.min_by("user", F.struct(-F.col(metric), F.col("user"))).alias("top_user"),
+    top = present(metrics).orderBy(F.col(metric).desc_nulls_last(), "user").limit(n)
+    return top.agg(F.min_by("user", F.struct(F.col(metric).isNull(), -F.col(metric), F.col("user"))).alias("top_user"),
                    F.round(F.avg(metric), ROUND).alias("mean"),
                    F.round(F.stddev_samp(metric), ROUND).alias("std"),
                    F.count(F.lit(1)).alias("n"))
 
 
 def metric_coverage(metrics: DataFrame) -> DataFrame:
-    return metrics.agg(F.count("pagerank").alias("users_with_pagerank"),
+    return present(metrics).agg(F.count("pagerank").alias("users_with_pagerank"),
                        F.count("betweenness").alias("users_with_betweenness"),
                        F.count("community_louvain").alias("users_with_community"))
 
 
 def users_missing_metrics(metrics: DataFrame) -> DataFrame:
-    return (metrics.where(F.col("pagerank").isNull() | F.col("betweenness").isNull())
+    return (present(metrics).where(F.col("pagerank").isNull() | F.col("betweenness").isNull())
             .select("user", "pagerank", "betweenness"))
 
 
 def metric_correlation(metrics: DataFrame) -> DataFrame:
     """Pearson coefficient of pagerank and betweenness over every user."""
-    return metrics.agg(F.count(F.lit(1)).alias("n"),
+    return present(metrics).agg(F.count(F.lit(1)).alias("n"),
                        F.round(F.corr("pagerank", "betweenness"), ROUND).alias("pearson"))
 
 
+def metric_pairs(metrics: DataFrame) -> DataFrame:
+    """The points behind the coefficient: every user with both metrics."""
+    return (present(metrics).where(F.col("pagerank").isNotNull() & F.col("betweenness").isNotNull())
+            .select("user", F.round("pagerank", ROUND).alias("pagerank"), F.round("betweenness", ROUND).alias("betweenness")))
+
+
 # ---------------------------------------------------------------- communities
 
 def valid_communities(metrics: DataFrame) -> DataFrame:
@@ -189,17 +194,37 @@ def node_export(metrics: DataFrame) -> DataFrame:
     """Nodes for drawing: pagerank (0 default), community (-1 default), size, colour."""
     pr = F.coalesce("pagerank", F.lit(0.0))
     comm = F.coalesce("community_louvain", F.lit(-1)).cast("long")
-    return metrics.select(F.col("user").alias("id"), F.round(pr, ROUND).alias("pagerank"),
+    return present(metrics).select(F.col("user").alias("id"), F.round(pr, ROUND).alias("pagerank"),
                           comm.alias("community"), F.round(pr * 1000 + 10, ROUND).alias("size"),
                           comm.alias("color"))
 
 
-def edge_export(edges: DataFrame, n: int | None = 1000, with_time: bool = True) -> DataFrame:
-    """source, target, action (, timestamp); the first ``n`` in a total order."""
+def edge_export(edges: DataFrame, n: int | None = None, with_time: bool = True) -> DataFrame:
+    """source, target, action (, timestamp) of every edge in a total order; the first
+    ``n`` of them on request (for a drawing)."""
     cols = [F.col("user_from").alias("source"), F.col("user_to").alias("target"), "action"]
     if with_time:
         cols.append(F.col("event_time").alias("timestamp"))
     out = edges.select(*cols)
     order = ["source", "target"] + (["timestamp"] if with_time else []) + ["action"]
     out = out.orderBy(*order)
-    return out.limit(n) if n else out
+    return out if n is None else out.limit(n)
+
+
+def one_hop(edges: DataFrame, metrics: DataFrame, with_community: bool = False, n: int | None = None) -> DataFrame:
+    """``(u)-[r]->(u2)`` with the properties of both ends, every match (the first ``n``
+    in a total order on request); ``with_community`` keeps pairs that both have one."""
+    m = present(metrics)
+    if with_community:
+        m = valid_communities(m)
+
+    def side(name: str) -> DataFrame:
+        return m.select(F.col("user").alias(name), F.round("pagerank", ROUND).alias(f"{name}_pagerank"),
+                        F.round("betweenness", ROUND).alias(f"{name}_betweenness"),
+                        F.col("community_louvain").alias(f"{name}_community"))
+
+    out = (edges.select(F.col("user_from").alias("u"), "action", "event_time", F.col("user_to").alias("u2"))
+           .join(side("u"), "u").join(side("u2"), "u2"))
+    out = out.select("u", "u_pagerank", "u_betweenness", "u_community", "action", "event_time",
+                     "u2", "u2_pagerank", "u2_betweenness", "u2_community")
+    return out if n is None else out.orderBy("u", "u2", "event_time", "action").limit(n)

@@ -40,5 +40,3 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ISO_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 TIME_CANDIDATES = ["timestamp", "event_time", "eventTime", "event_time_utc"]
 METRIC_DEFAULTS = {"pagerank": 0.0, "betweenness": 0.0, "community_louvain": -1}
-ENGAGING_ACTIONS = ["LIKE", "SHARE"]
-KNOWN_ACTIONS = ["LIKE", "SHARE", "COMMENT"]

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job of the library assumes. AQE re-plans joins at run time
 # (broadcast when a side turns out small, splits skewed partitions) and
@@ -61,7 +62,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -135,6 +137,20 @@ def checkpoint(df: DataFrame, name: str = "round") -> DataFrame:
     return materialize(df, name)
 
 
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the Parquet files at ``path`` (a listing; no file is opened)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(path))
+    return int(files.agg(F.sum("length")).first()[0] or 0)
+
+
+def file_identity(spark: SparkSession, path: str) -> tuple:
+    """(files, bytes, newest change) of a table, so that results kept by path notice new input."""
+    row = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+           .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
+    return tuple(row)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a round table written by ``checkpoint`` once a loop no
     longer needs it (a superseded round), so an iterative job does not leave one
@@ -144,11 +160,34 @@ def drop_table(df: DataFrame) -> None:
     if not files:
         return
     folder = files[0].rsplit("/", 1)[0]
-    if not folder.rsplit("/", 1)[-1].startswith("plexus-round-"):
-        return
-    sc = df.sparkSession.sparkContext
-    try:
-        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # cleanup is best effort: a left-over round table is harmless
-        pass
+    if folder.rsplit("/", 1)[-1].startswith("plexus-round-"):
+        delete_path(df.sparkSession, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Hadoop's file system (PySpark has no call of its own)."""
+    fs, p = _file_system(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def switch_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``; what stood there goes
+    only after the switch, and comes back if the switch fails."""
+    fs, target = _file_system(spark, path)
+    _, source = _file_system(spark, new)
+    _, aside = _file_system(spark, f"{path.rstrip('/')}__old-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(source, target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(aside, True)

@@ -17,8 +17,12 @@ from plexus.schemas import TIME_FORMAT
 ACTION_OF_EVENT_TYPE = {"click": "like", "purchase": "Share", "view": "comment"}
 
 
+def events_path(sf_dir: str) -> str:
+    return f"{sf_dir.rstrip('/')}/events.parquet"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.parquet(events_path(sf_dir))
 
 
 def events_to_bronze(events: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plexus.schemas import EDGE, ISO_TIME_FORMAT, METRIC_DEFAULTS, METRICS
+from plexus.session import switch_path
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
@@ -16,28 +19,45 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     return reader.load(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    """Full-refresh write (re-running is idempotent). Partitioning Silver by
-    ``event_date`` lets date filters prune files."""
-    w = df.write.format(fmt).mode(mode)
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """Full-refresh write (re-running is idempotent). The new table is written beside the
+    old one and takes its place when it is complete, so a failed write leaves the old
+    one as it was. Partitioning Silver by ``event_date`` lets date filters prune files.
+    Formats with a transaction log (delta) overwrite in place."""
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    if fmt == "delta":
+        w.mode("overwrite").save(path)
+        return
+    new = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+    w.save(new)
+    switch_path(df.sparkSession, new, path)
+
+
+# Text tables keep every string as it is: all values quoted, quotes doubled by a
+# backslash-free escape, blanks and line ends kept, null and empty told apart.
+CSV = {"header": "true", "quoteAll": "true", "escape": '"', "nullValue": "\\N", "emptyValue": "",
+       "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+       "timestampFormat": ISO_TIME_FORMAT}
+
+
+def _csv_files(spark: SparkSession, path: str) -> None:
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    if not found.select("path").head(1):
+        raise FileNotFoundError(f"no CSV file in {path}")
 
 
-def write_edges_csv(edges: DataFrame, path: str, single_file: bool = False) -> None:
-    """Gold CSV sink with header. ``single_file`` funnels everything through one
-    task and is meant for tiny exports only."""
-    out = edges.coalesce(1) if single_file else edges
-    (out.write.mode("overwrite").option("header", True)
-        .option("timestampFormat", ISO_TIME_FORMAT).csv(path))
+def write_edges_csv(edges: DataFrame, path: str) -> None:
+    """Gold CSV sink with header, lossless for any user id but the null marker itself."""
+    edges.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def read_edges_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Gold CSV source, declared schema (no inference pass over the data)."""
-    return (spark.read.schema(EDGE).option("header", True)
-            .option("timestampFormat", ISO_TIME_FORMAT).option("mode", "PERMISSIVE").csv(path))
+    """Gold CSV source, declared schema (no inference pass over the data); a row that
+    does not fit the schema is an error, and so is a folder without a CSV file."""
+    _csv_files(spark, path)
+    return spark.read.schema(EDGE).options(**CSV, multiLine="true", mode="FAILFAST").csv(path)
 
 
 def fill_metric_defaults(metrics: DataFrame) -> DataFrame:
@@ -59,9 +79,10 @@ def fill_metric_defaults(metrics: DataFrame) -> DataFrame:
 def read_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
     """Metrics CSV with header; the header decides which columns exist, so the
     string columns are read first and typed by ``fill_metric_defaults``."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    _csv_files(spark, path)
+    raw = spark.read.options(**CSV, multiLine="true", inferSchema="false").csv(path)
     return fill_metric_defaults(raw)
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
-    metrics.write.mode("overwrite").option("header", True).csv(path)
+    metrics.write.mode("overwrite").options(**CSV).csv(path)

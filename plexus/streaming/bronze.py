@@ -35,17 +35,18 @@ def bronze_stream(messages: DataFrame) -> DataFrame:
 def start_bronze(spark: SparkSession, source_format: str, sink_path: str, checkpoint_path: str,
                  source_path: str | None = None, source_options: dict[str, str] | None = None,
                  sink_format: str = "parquet", available_now: bool = False,
-                 processing_time: str | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, batch_writer=None) -> StreamingQuery:
     """Start the append-only Bronze query. Default trigger = as fast as data arrives;
-    ``processing_time`` (e.g. "1 minute") batches more rows per file."""
+    ``processing_time`` (e.g. "1 minute") batches more rows per file. ``batch_writer``
+    (see ``idempotent_batch_writer``) takes the place of the file sink."""
     rows = bronze_stream(message_stream(spark, source_format, source_path, source_options))
-    w = (rows.writeStream.format(sink_format).outputMode("append")
-         .option("checkpointLocation", checkpoint_path))
+    w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
+    w = w.foreachBatch(batch_writer) if batch_writer else w.format(sink_format)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start(sink_path)
+    return w.start() if batch_writer else w.start(sink_path)
 
 
 def run_bronze_stream(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
@@ -57,6 +58,16 @@ def run_bronze_stream(spark: SparkSession, source_path: str, sink_path: str, che
     return spark.read.format(sink_format).schema(EVENT).load(sink_path)
 
 
+def run_bronze_batches(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
+                       source_format: str = "text", sink_format: str = "parquet", writer=None) -> DataFrame:
+    """As ``run_bronze_stream``, each micro-batch in a folder of its own: a batch that was
+    planned but not committed replaces itself when it is replayed."""
+    q = start_bronze(spark, source_format, sink_path, checkpoint_path, source_path=source_path,
+                     available_now=True, batch_writer=writer or idempotent_batch_writer(sink_path, sink_format))
+    q.awaitTermination()
+    return spark.read.format(sink_format).schema(EVENT).load(f"{sink_path.rstrip('/')}/batch_id=*")
+
+
 def write_message_files(bronze: DataFrame, path: str) -> str:
     """Encode Bronze rows as one JSON message per line (a replayable message log)."""
     cols = [F.col(c) for c in EVENT.fieldNames()]

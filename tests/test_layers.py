@@ -86,11 +86,68 @@ def test_empty_bronze_gives_zero_kpis(spark):
 
 def test_gold_csv_round_trip(spark, golden_edges):
     path = scratch_path(spark, "test-csv")
-    tables.write_edges_csv(golden_edges, path, single_file=True)
+    tables.write_edges_csv(golden_edges, path)
     back = tables.read_edges_csv(spark, path)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, golden_edges.collect()))
 
 
+def test_gold_csv_keeps_odd_ids(spark):
+    from plexus.schemas import EDGE
+    ids = ["", " a ", "a", "x\ny", 'q"q', "c,d", "\\", "null", None]
+    rows = [(u, "t", "LIKE", None, "2025-01-01", "10") for u in ids]
+    path = scratch_path(spark, "test-odd-csv")
+    tables.write_edges_csv(spark.createDataFrame(rows, EDGE), path)
+    back = [r.user_from for r in tables.read_edges_csv(spark, path).collect()]
+    assert sorted(map(repr, back)) == sorted(map(repr, ids))
+
+
+def test_edge_folder_without_csv_is_an_error(spark, golden_edges):
+    path = scratch_path(spark, "test-no-csv")
+    golden_edges.write.parquet(path)
+    with pytest.raises(FileNotFoundError):
+        tables.read_edges_csv(spark, path)
+
+
+def test_csv_row_that_does_not_fit_is_an_error(spark):
+    path = scratch_path(spark, "test-bad-csv")
+    spark.createDataFrame([("a", "b", "LIKE", "no time", "2025-01-01", "10")],
+                          "user_from string, user_to string, action string, event_time string, event_date string, event_hour string"
+                          ).write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        tables.read_edges_csv(spark, path).collect()
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, golden_edges):
+    path = scratch_path(spark, "test-atomic")
+    tables.write_table(golden_edges, path)
+    broken = golden_edges.withColumn("action", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_table(broken, path)
+    assert tables.read_table(spark, path).count() == 44
+
+
+def test_padded_column_name_is_found(spark):
+    df = spark.createDataFrame([("2025-01-01 10:00:00", "a")], [" event_time ", " user "])
+    out = resolve_time_column(df)
+    assert out.count() == 1 and set(out.columns) == {"event_time", "user", "timestamp"}
+
+
+def test_nan_is_missing_everywhere(spark):
+    nan = float("nan")
+    m = spark.createDataFrame([("a", nan, 1.0, 1), ("b", 0.5, nan, 2), ("c", 0.25, 3.0, None), ("d", None, None, 4)],
+                              "user string, pagerank double, betweenness double, community_louvain long")
+    assert [r["user"] for r in rankings.top_by(m, "pagerank", 4).collect()] == ["b", "c", "a", "d"]
+    p = rankings.metric_stats(m).where("metric = 'pagerank'").first()
+    assert (p["min"], p["max"], p["avg"]) == (0.25, 0.5, 0.375)
+    ranks = {r["user"]: r["rank"] for r in rankings.user_rank(m).collect()}
+    assert ranks == {"b": 1, "c": 2, "a": 3, "d": 3}
+    for u in "abcd":
+        assert rankings.user_profile(m, u).first()["rank"] == ranks[u]
+    assert rankings.top_n_stats(m, "pagerank", 2).first()["top_user"] == "b"
+    assert {r["user"] for r in rankings.users_missing_metrics(m).collect()} == {"a", "b", "d"}
+    assert [r["user"] for r in rankings.metric_pairs(m).collect()] == ["c"]
+
+
 def test_metrics_csv_defaults(spark):
     path = scratch_path(spark, "test-metrics")
     spark.createDataFrame([("u1", "0.5")], ["user", "pagerank"]).write.option("header", True).csv(path)

@@ -17,23 +17,34 @@ def test_events_scan_reads_only_needed_columns(spark):
     assert "value:double" not in plan and "event_id" not in plan
 
 
-def test_silver_null_filter_sits_below_the_dedup(spark):
+def test_silver_drops_bad_rows_below_the_dedup(spark):
     plan = _plan(silver.clean(interactions(spark, SMALL_SF)))
-    # the required-column check runs on the scanned rows, before the dedup shuffle
-    # (it is derived from concat/from_json, so parquet itself cannot take it)
+    # one shuffle; the validity filter runs on the scanned rows, before it
+    assert plan.count("Exchange hashpartitioning") == 1
     exchange = plan.index("Exchange hashpartitioning")
-    assert plan.find("Filter atleastnnonnulls", exchange) > exchange
-    assert plan.find("Filter", 0, exchange) == -1
+    assert plan.find("Filter", exchange) > exchange and plan.find("Filter", 0, exchange) == -1
 
 
-def test_pagerank_round_broadcasts_deltas(spark):
-    from pyspark.sql import functions as F
-    from plexus.operators.pagerank import transition
-    g = catalog.graph_of(spark, SMALL_SF)
-    t = transition(g)
-    active = F.broadcast(g.vertices.select(F.col("vid").alias("src"), F.lit(0.15).alias("d")))
-    plan = _plan(t.join(active, "src").groupBy("dst").sum("d"))
-    assert "BroadcastHashJoin" in plan
+def test_graph_queries_read_written_tables_only(spark):
+    for name in ("graph_edges", "pattern_one_hop", "top_influencer_subgraph", "ego_network", "kpi_summary", "graph_projection"):
+        assert "events.parquet" not in _plan(catalog.QUERIES[name](spark, SMALL_SF)), name
+
+
+def test_pagerank_queries_start_no_search(spark):
+    catalog.clear_cache()
+    for name in ("top_influencers", "top_n_stats", "user_rank"):
+        catalog.QUERIES[name](spark, SMALL_SF).collect()
+    assert not [k for k in catalog._CACHE if k[-1] == "betweenness"]
+
+
+def test_memo_notices_new_input(spark, tmp_path):
+    src = spark.read.parquet(f"{SMALL_SF}/events.parquet")
+    d = str(tmp_path)
+    src.limit(100).write.parquet(f"{d}/events.parquet")
+    first = catalog.QUERIES["graph_counts"](spark, d).first()["total_relationships"]
+    src.limit(300).write.mode("overwrite").parquet(f"{d}/events.parquet")
+    spark.catalog.refreshByPath(f"{d}/events.parquet")
+    assert catalog.QUERIES["graph_counts"](spark, d).first()["total_relationships"] > first
 
 
 def test_kpi_is_one_aggregation_without_cross_join(spark):
@@ -44,6 +55,6 @@ def test_kpi_is_one_aggregation_without_cross_join(spark):
 
 def test_influencer_pattern_broadcasts_only_the_vertex_side(spark):
     plan = _plan(catalog.QUERIES["top_influencer_subgraph"](spark, SMALL_SF))
-    # two joins against the (bounded) score table, both broadcast; no sort-merge join
+    # two joins against the (small) score table, both broadcast; no sort-merge join
     assert plan.count("BroadcastHashJoin") >= 2
     assert "SortMergeJoin" not in plan

@@ -87,7 +87,7 @@ def ref_triangles(pairs):
     return count
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(pairs=EDGE_LISTS)
 def test_random_graphs_match_reference(spark, pairs):
     g = build_graph(_edges_df(spark, pairs))
@@ -122,3 +122,63 @@ def test_undirected_pattern_orientations_and_threshold(spark):
                     ("user2", "user1"): 1, ("user2", "user2"): 1})
     assert got == want
     assert set(names) == set(score)
+
+
+def _hub_pairs():
+    """One user sends and receives a third of all interactions each."""
+    rest = [((7 * i) % 23 + 1, (11 * i + 3) % 23 + 1) for i in range(60)]
+    return [(0, i % 23 + 1) for i in range(60)] + [(i % 23 + 1, 0) for i in range(60)] + rest
+
+
+def test_hub_graph_without_broadcasts_equals_broadcast(spark, monkeypatch):
+    from plexus.operators import communities, graph
+
+    def results():
+        g = build_graph(_edges_df(spark, _hub_pairs()))
+        labels, _ = communities.label_propagation_run(g)
+        louvain, s = communities.louvain_run(g)
+        return ({r["user"]: round(r["pagerank"], 12) for r in pagerank(g).collect()},
+                {r["vid"]: r["label"] for r in labels.collect()},
+                {r["vid"]: r["community"] for r in louvain.collect()}, round(s["modularity"], 12),
+                {r["user"]: r["triangle_count"] for r in triangles.triangle_count(g).collect()})
+
+    want = results()
+    assert want[0] == {u: pytest.approx(v, abs=1e-12) for u, v in ref_pagerank(_hub_pairs()).items()}
+    assert {u: n for u, n in want[4].items() if n} == ref_triangles(_hub_pairs())
+    monkeypatch.setattr(graph, "BROADCAST_BYTES", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert results() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_batches_of_sources_change_nothing_and_leave_nothing(spark):
+    import os
+
+    from plexus.session import ensure_checkpoint_dir
+
+    g = build_graph(_edges_df(spark, _hub_pairs()))
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = {f for f in os.listdir(root) if f.startswith("plexus-round-")}
+    want = ref_betweenness(_hub_pairs())
+    for per_batch in (5, 12, None):
+        got = {r["user"]: r["betweenness"] for r in paths.betweenness(g, sources_per_batch=per_batch).collect()}
+        assert got == {u: pytest.approx(v, abs=1e-9) for u, v in want.items()}
+    close = [{r["user"]: round(r["closeness"], 12) for r in paths.closeness(g, sources_per_batch=b).collect()} for b in (9, None)]
+    assert close[0] == close[1]
+    left = {f for f in os.listdir(root) if f.startswith("plexus-round-")} - before
+    assert len(left) <= 5  # the five results
+
+
+def test_louvain_moves_apart_add_up(spark, monkeypatch):
+    from plexus.operators import communities
+    from plexus.operators.graph import undirected
+
+    monkeypatch.setattr(communities, "MOST_PARTS", 1)  # only moves that touch no common community
+    g = build_graph(_edges_df(spark, _hub_pairs()))
+    labels, s = communities.louvain_run(g)
+    q = communities.modularity_of(undirected(g.projection), labels, label="community").first()["modularity"]
+    assert s["converged"] and q == pytest.approx(s["modularity"], abs=1e-12)
+    assert s["modularities"] == sorted(s["modularities"])
