@@ -8,9 +8,7 @@ cached; forward-backward runs over many sequences at once, one word of each a st
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
-from zlib import crc32
+from dataclasses import dataclass, field
 
 import numpy as np
 
@@ -56,23 +54,72 @@ def read(texts: list[str], pattern: re.Pattern, index: Words) -> Sequences:
     return Sequences(words, text, starts, np.diff(np.concatenate([starts, [len(words)]])))
 
 
-def hashed(names: Iterable[str], bits: int) -> list[int]:
-    mask = (1 << bits) - 1
-    return [crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names]
+_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)  # odd mixing constants
+
+
+@dataclass
+class Features:
+    """Hashed features of words, in small letters: the word, its first and last letters,
+    letter n-grams with its borders, its length, and the label its lexicon gives it."""
+
+    prefixes: tuple[int, ...] = ()
+    suffixes: tuple[int, ...] = ()
+    grams: tuple[int, ...] = ()
+    lengths: bool = False
+    lexicon: dict[str, int] = field(default_factory=dict)
+    bits: int = 18
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Feature numbers of all words in a row, and the word that each belongs to."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        low = [w.lower() for w in words]
+        sizes = np.array([len(w) + 2 for w in low])  # with a border on either side
+        joined = "\x02" + "\x03\x02".join(low) + "\x03"
+        a = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        starts = np.cumsum(sizes) - sizes
+        every, owner = np.arange(len(words)), np.repeat(np.arange(len(words)), sizes)
+        place = np.arange(len(a)) - starts[owner]
+        powers = np.cumprod(np.full(int(sizes.max()), _K1))
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add(family: int, h: np.ndarray, of: np.ndarray) -> None:
+            h = (h ^ np.uint64(family * 0x632BE5AB + 1)) * _K2
+            h = (h ^ (h >> np.uint64(29))) * _K1
+            out.append(((h >> np.uint64(64 - self.bits)).astype(np.int64), of))
+
+        def run(at: np.ndarray, n: int) -> np.ndarray:
+            return sum(a[at + j] * powers[j] for j in range(n))
+
+        add(1, np.add.reduceat(a * powers[place], starts), every)
+        for n in self.prefixes:
+            of = every[sizes >= n + 2]
+            add(10 + n, run(starts[of] + 1, n), of)
+        for n in self.suffixes:
+            of = every[sizes >= n + 2]
+            add(30 + n, run(starts[of] + sizes[of] - 1 - n, n), of)
+        for n in self.grams:
+            at = np.flatnonzero(place + n <= sizes[owner])
+            add(50 + n, run(at, n), owner[at])
+        if self.lengths:
+            add(2, np.minimum(sizes, 14).astype(np.uint64), every)
+        if self.lexicon:
+            known = [(i, k) for i, k in enumerate(map(self.lexicon.get, low)) if k is not None]
+            if known:
+                of, label = np.array(known).T
+                add(3, label.astype(np.uint64), of)
+        return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
 @dataclass
 class CRF:
     weights: np.ndarray  # features x labels
     transitions: np.ndarray  # from x to
-    bits: int
 
-    def scores(self, words: list[str], features: Callable[[str], Iterable[str]]) -> np.ndarray:
+    def scores(self, words: list[str], features: Features) -> np.ndarray:
         """Label scores of distinct words."""
-        out = np.zeros((len(words), self.weights.shape[1]), np.float32)
-        for i, w in enumerate(words):
-            out[i] = self.weights[hashed(features(w), self.bits)].sum(0)
-        return out
+        at, owner = features(words)
+        return np.stack([np.bincount(owner, w[at], len(words)) for w in self.weights.T], 1).astype(np.float32)
 
     def marginals(self, scores: np.ndarray, seq: Sequences, pairs: np.ndarray | None = None) -> np.ndarray:
         """Probability of each label of each word. ``pairs`` collects expected transitions."""
@@ -109,14 +156,11 @@ class CRF:
         return out
 
 
-def train(words: list[str], seq: Sequences, labels: np.ndarray, n_labels: int,
-          features: Callable[[str], Iterable[str]], bits: int = 18, rounds: int = 40,
-          rate: float = 0.15, decay: float = 1e-6) -> CRF:
+def train(words: list[str], seq: Sequences, labels: np.ndarray, n_labels: int, features: Features,
+          rounds: int = 40, rate: float = 0.15, decay: float = 1e-6) -> CRF:
     """Maximum likelihood by Adam over all sequences. ``words``: of each word number from
     len(BREAKS); ``labels``: of each word in ``seq``."""
-    hashes = [hashed(features(w), bits) for w in words]
-    feat = np.concatenate([np.asarray(h, np.int64) for h in hashes]) if hashes else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(words)), [len(h) for h in hashes])
+    feat, owner = features(words)
     used, feat = np.unique(feat, return_inverse=True)
     at = seq.words - len(BREAKS)
     n = max(1, len(at))
@@ -131,7 +175,7 @@ def train(words: list[str], seq: Sequences, labels: np.ndarray, n_labels: int,
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, tr)]
     for step in range(1, rounds + 1):
         per_word = np.stack([np.bincount(owner, w[feat, k], len(words)) for k in range(n_labels)], 1)
-        model = CRF(w, tr, bits)
+        model = CRF(w, tr)
         pairs = np.zeros((n_labels, n_labels))
         m = model.marginals(per_word[at].astype(np.float32), seq, pairs)
         expected = np.stack([np.bincount(at, m[:, k], len(words)) for k in range(n_labels)], 1)
@@ -142,15 +186,15 @@ def train(words: list[str], seq: Sequences, labels: np.ndarray, n_labels: int,
             s[0] = 0.9 * s[0] + 0.1 * g
             s[1] = 0.99 * s[1] + 0.01 * g * g
             x -= rate * (s[0] / (1 - 0.9 ** step)) / (np.sqrt(s[1] / (1 - 0.99 ** step)) + 1e-8)
-    full = np.zeros((1 << bits, n_labels), np.float32)
+    full = np.zeros((1 << features.bits, n_labels), np.float32)
     full[used] = w
-    return CRF(full, tr.astype(np.float32), bits)
+    return CRF(full, tr.astype(np.float32))
 
 
 class Tagger:
     """A trained model in a Python worker, with its cache of word scores."""
 
-    def __init__(self, model: CRF, pattern: re.Pattern, features: Callable[[str], Iterable[str]]):
+    def __init__(self, model: CRF, pattern: re.Pattern, features: Features):
         self.model, self.pattern, self.features = model, pattern, features
         self.reset()
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,41 +41,30 @@ PATTERN = re.compile(r"[^\W\d_]+|[.!?\n]")
 TASK_CHARS = 1 << 21
 
 
-@dataclass
-class Features:
-    lexicon: dict[str, str] = field(default_factory=dict)  # word -> language
-
-    def __call__(self, word: str) -> list[str]:
-        w = word.lower()
-        b = f"^{w}$"
-        out = ["w" + w, *[f"p{k}{w[:k]}" for k in (1, 2, 3, 4)], *[f"s{k}{w[-k:]}" for k in (1, 2, 3, 4)]]
-        out += ["g" + b[i:i + 2] for i in range(len(b) - 1)]
-        out += ["g" + b[i:i + 3] for i in range(len(b) - 2)]
-        if w in self.lexicon:
-            out.append("l" + self.lexicon[w])
-        return out
+def features_of(lexicon: dict[str, int]) -> crf.Features:
+    return crf.Features(prefixes=(1, 2, 3, 4), suffixes=(1, 2, 3, 4), grams=(2, 3), lexicon=lexicon)
 
 
 @dataclass
 class Model:
     languages: list[str]
     chain: crf.CRF | None
-    features: Features
+    features: crf.Features
 
 
-def _lexicon(words: list[str], counts: np.ndarray, languages: list[str]) -> dict[str, str]:
-    """Frequent words of one language; ``counts``: word x language."""
-    small: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(languages)))
+def _lexicon(words: list[str], counts: np.ndarray) -> dict[str, int]:
+    """Frequent words of one language, with its number; ``counts``: word x language."""
+    small: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(counts.shape[1]))
     for w, c in zip(words, counts, strict=True):
         small[w.lower()] += c
-    return {w: languages[int(c.argmax())] for w, c in small.items()
+    return {w: int(c.argmax()) for w, c in small.items()
             if c.sum() >= LEXICON_COUNT and c.max() >= 0.9 * c.sum()}
 
 
 def fit(texts: list[str], langs: list[str], rounds: int = 30) -> Model:
     languages = sorted(set(langs))
     if not languages:
-        return Model([], None, Features())
+        return Model([], None, features_of({}))
     number = {x: i for i, x in enumerate(languages)}
     index = crf.Words()
     seq = crf.read(texts, PATTERN, index)
@@ -83,7 +72,7 @@ def fit(texts: list[str], langs: list[str], rounds: int = 30) -> Model:
     label = np.array([number[x] for x in langs])[seq.text]
     counts = np.zeros((len(words), len(languages)))
     np.add.at(counts, (seq.words - len(crf.BREAKS), label), 1)
-    feats = Features(_lexicon(words, counts, languages))
+    feats = features_of(_lexicon(words, counts))
     # sentences in a mixed order, some of them run together
     rng = np.random.default_rng(7)
     order = rng.permutation(len(seq.starts))

@@ -43,9 +43,7 @@ PATTERN = re.compile(r"\w+|[.!?\n]")
 TASK_CHARS = 1 << 21
 
 
-def features(word: str) -> list[str]:
-    w = word.lower()
-    return ["w" + w, *[f"p{k}{w[:k]}" for k in (3, 4, 5)], *[f"s{k}{w[-k:]}" for k in (3, 4)], f"n{min(len(w), 12)}", "b"]
+FEATURES = crf.Features(prefixes=(3, 4, 5), suffixes=(3, 4), lengths=True)
 
 
 def marks(word: str) -> list[str]:
@@ -110,8 +108,8 @@ def fit(texts: list[str], toxic: list[int], rate: float) -> Model:
     is_bad = np.array([any(m in bad for m in marks(w)) for w in words], bool)
     y = np.array(toxic, bool)
     labels = (is_bad[seq.words - len(crf.BREAKS)] & y[seq.text]).astype(np.int64) if len(seq.words) else np.zeros(0, np.int64)
-    chain = crf.train(words, seq, labels, 2, features)
-    tagger = crf.Tagger(chain, PATTERN, features)
+    chain = crf.train(words, seq, labels, 2, FEATURES)
+    tagger = crf.Tagger(chain, PATTERN, FEATURES)
     rows = []
     for k in range(0, len(texts), 200):
         s, m = tagger.tag(texts[k:k + 200])
@@ -158,7 +156,7 @@ def score(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
         key = id(m)
         if m.chain and key not in _TAGGERS:
             _TAGGERS.clear()
-            _TAGGERS[key] = crf.Tagger(m.chain, PATTERN, features)
+            _TAGGERS[key] = crf.Tagger(m.chain, PATTERN, FEATURES)
 
         def tag(ids, texts):
             found: list[list] = [[] for _ in texts]
