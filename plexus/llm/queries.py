@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plexus.llm import (
     decontamination,
     language_id,
+    oracle,
     packing,
     quality_rules,
     secret_scan,
@@ -30,11 +31,11 @@ URL_RULES = [
 
 
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(*quality_rules.RULES)
 
 
 def word_tokenizer() -> str:
@@ -98,4 +99,9 @@ QUERIES = {
     "op10_quality_rules": quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The other operators hash with XXH64, align, train or call a tokenizer, which SQL
+# cannot state; tests/llm holds them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filters": oracle.url_sql(URL_RULES),
+    "op10_quality_rules": oracle.quality_sql(),
+}

@@ -145,7 +145,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
         "row", "page_id", "host", "path", "ok",
         F.get(texts, F.col("hit")).alias("rule"), F.get(verdicts, F.col("hit")).alias("ruled"),
         F.when(F.col("ok"), model_text(F.col("host"), F.col("path"))).alias("s"),
-        (F.crc32(F.col("host").cast("binary")) % FOLDS == 0).alias("calibrates")), "url-rows")
+        (F.conv(F.substring(F.md5(F.col("host").cast("binary")), 1, 8), 16, 10).cast("long") % FOLDS == 0).alias("calibrates")), "url-rows")
     train = F.col("ruled").isNotNull() & ~F.col("calibrates")
     # URLs of one shape are one row from here on
     shapes = base.where("ok").groupBy("s").agg(
