@@ -80,7 +80,8 @@ class Features:
         starts = np.cumsum(sizes) - sizes
         every, owner = np.arange(len(words)), np.repeat(np.arange(len(words)), sizes)
         place = np.arange(len(a)) - starts[owner]
-        powers = np.cumprod(np.full(int(sizes.max()), _K1))
+        longest = max(int(sizes.max()), *self.prefixes, *self.suffixes, *self.grams, 1)
+        powers = np.cumprod(np.full(longest, _K1))
         out: list[tuple[np.ndarray, np.ndarray]] = []
 
         def add(family: int, h: np.ndarray, of: np.ndarray) -> None:

@@ -41,13 +41,13 @@ urls AS (
       '[0-9]', '0', 'g'), '[^a-z0./\\-_]', '~', 'g') || '$' END AS s,
     CAST('0x' || substr(md5(host), 1, 8) AS BIGINT) % {urls.FOLDS} = 0 AS calibrates
   FROM base),
-at AS (SELECT r, substr(s, i, {k + 1}) AS g, ruled, calibrates
+spots AS (SELECT r, substr(s, i, {k + 1}) AS g, ruled, calibrates
        FROM (SELECT *, unnest(range(1, length(s) - {k} + 1)) AS i FROM urls WHERE ok)),
 grams AS (
   SELECT g, CAST(count(*) FILTER (WHERE NOT calibrates AND ruled = 'allow') AS DOUBLE) AS acc,
-    CAST(count(*) FILTER (WHERE NOT calibrates AND ruled = 'block') AS DOUBLE) AS rej FROM at GROUP BY g),
+    CAST(count(*) FILTER (WHERE NOT calibrates AND ruled = 'block') AS DOUBLE) AS rej FROM spots GROUP BY g),
 {",".join(orders)},
-scores AS (SELECT r, sum(ln(q_acc) - ln(q_rej)) / count(*) AS score FROM at JOIN q{k} ON x = g GROUP BY r),
+scores AS (SELECT r, sum(ln(q_acc) - ln(q_rej)) / count(*) AS score FROM spots JOIN q{k} ON x = g GROUP BY r),
 bins AS (
   SELECT floor(least(greatest(score, -20.0), 20.0) * {urls.BINS}) AS b,
     count(*) FILTER (WHERE ruled = 'allow') AS a, count(*) FILTER (WHERE ruled = 'block') AS j
@@ -77,8 +77,8 @@ FROM held GROUP BY stratum""" for r in quality.RULES for c in quality.CUTOFFS)
     return f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(lang, 'und') AS stratum FROM documents),
-words AS (SELECT *, list_filter(regexp_split_to_array(t, '{space}'), x -> x <> '') AS ws,
-  list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{word}')) AS lines FROM docs),
+words AS (SELECT *, list_filter(regexp_split_to_array(t, '{space}'), lambda x: x <> '') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM docs),
 win AS (SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS g
         FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM words WHERE len(ws) >= 8)),
 dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
@@ -104,7 +104,7 @@ held AS (
   USING (doc_id) WHERE NOT failed),
 tests AS ({tests}),
 certified AS (
-  SELECT * FROM tests WHERE caught > 0 AND n > 0 AND k < n * {p} AND list_sum(list_transform(range(0, k + 1), i ->
+  SELECT * FROM tests WHERE caught > 0 AND n > 0 AND k < n * {p} AND list_sum(list_transform(range(0, k + 1), lambda i:
     exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) <= {level}),
 best AS (
   SELECT stratum, rule, cutoff FROM (SELECT *, row_number() OVER (
