@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     ship(spark)
     # long texts reach Python in small batches
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from plexus.llm.tokens import chunks, encoder
+from plexus.llm.tokens import chunks, encoder, id_runs
 
 WIDTH = 4096
 SENTENCE_PENALTY = 32
 WORD_PENALTY = 256
 STEP = 256
-SPAN = 1 << 21
+SPAN = 1 << 20
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
@@ -117,7 +117,6 @@ class Packer:
         at, size = marks[:-1], np.diff(marks)
         doc = np.searchsorted(self.doc_at, at, "right") - 1
         seq = np.searchsorted(cut, at, "right") - 1
-        raw = memoryview(self.ids[:end].astype("<u4", copy=False)).cast("B")
         out = {
             "doc_id": [self.doc_ids[i] for i in doc.tolist()],
             "start": self.doc_from[doc] + at - self.doc_at[doc],
@@ -125,7 +124,7 @@ class Packer:
             "doc_tokens": self.doc_tokens[doc],
             "sequence_id": self.sequence + seq,
             "offset": at - cut[seq],
-            "ids": [raw[4 * a:4 * (a + n)] for a, n in zip(at.tolist(), size.tolist(), strict=True)],
+            "ids": id_runs(self.ids, marks),
         }
         self.sequence += len(cut) - 1
         first = int(np.searchsorted(self.doc_at, end, "right") - 1) if end < len(self.ids) else len(self.doc_ids)
@@ -151,7 +150,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, width: int = WIDTH) -> Da
             ints = {k: pa.array(cols[k], pa.int64()) for k in ("doc_id", "start", "length", "doc_tokens")}
             return pa.RecordBatch.from_pydict(ints | {
                 "sequence_id": pa.array(cols["sequence_id"] + part, pa.int64()),
-                "offset": pa.array(cols["offset"], pa.int64()), "ids": pa.array(cols["ids"], pa.binary())})
+                "offset": pa.array(cols["offset"], pa.int64()), "ids": cols["ids"]})
 
         for doc_ids, texts in chunks(batches, 0, 1):
             ids, sizes, n_words, lens, stops = enc.encode(texts)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from plexus.llm import mixcoder
 from plexus.llm.common import small_side
-from plexus.llm.tokens import chunks, encoder
+from plexus.llm.tokens import chunks, encoder, id_runs
 
 GROUP = 1 << 23
 
@@ -83,7 +83,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for r in b.to_pylist():
                 ids = mixcoder.decode(r["payload"], np.array(r["sizes"]), r["crcs"], r["count"])
-                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 n = np.array(r["lengths"], np.int64)
                 ends = np.cumsum(n)
                 at = ends - n
@@ -93,7 +92,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                         "doc_id": pa.array(r["doc_ids"][s], pa.int64()),
                         "start": pa.array(at[s] + r["first"], pa.int64()),
                         "n_tokens": pa.array(n[s], pa.int64()),
-                        "ids": pa.array([raw[4 * x:4 * y] for x, y in zip(at[s], ends[s], strict=True)], pa.binary())})
+                        "ids": id_runs(ids, np.concatenate([at[s][:1], ends[s]]))})
 
     joined = records.join(small_side(starts, "token-starts"), ["part", "record"])
     return joined.select("doc_ids", "lengths", "count", "sizes", "crcs", "payload", "first").mapInArrow(

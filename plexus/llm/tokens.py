@@ -9,12 +9,14 @@ and is bounded: above ``CACHE_WORDS`` words it starts anew.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 JOINED = 2_000  # words encoded in one call
 
 # A plain word: Latin-1 letters and punctuation after them. Lower-casing and
@@ -47,6 +49,7 @@ class WordEncoder:
     """A word is two runs of ids, its letters and the punctuation after them."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task, and one thread's memory
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -145,3 +148,11 @@ def chunks(batches, id_col: int, text_col: int, size: int = 1 << 21) -> Iterator
                 ids, texts, n = [], [], 0
     if ids:
         yield ids, texts
+
+
+def id_runs(ids: np.ndarray, marks: np.ndarray) -> pa.Array:
+    """Binary array of the runs of ``ids`` between marks, as little-endian unsigned 32-bit
+    integers. (Made from one buffer: an array of memoryviews would never let go of them.)"""
+    raw = np.ascontiguousarray(ids[int(marks[0]):int(marks[-1])], "<u4")
+    at = (4 * (marks - marks[0])).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(marks) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
