@@ -138,17 +138,16 @@ def checkpoint(df: DataFrame, name: str = "round") -> DataFrame:
 
 
 def written_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of the Parquet files at ``path`` (a listing; no file is opened)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(path))
-    return int(files.agg(F.sum("length")).first()[0] or 0)
+    """Bytes of the files under ``path`` (a listing; no file is opened)."""
+    fs, p = _file_system(spark, path)
+    return int(fs.getContentSummary(p).getLength())
 
 
 def file_identity(spark: SparkSession, path: str) -> tuple:
     """(files, bytes, newest change) of a table, so that results kept by path notice new input."""
-    row = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-           .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
-    return tuple(row)
+    fs, p = _file_system(spark, path)
+    files = [(f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)]
+    return len(files), sum(n for n, _ in files), max((t for _, t in files), default=0)
 
 
 def drop_table(df: DataFrame) -> None:
