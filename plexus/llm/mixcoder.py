@@ -41,9 +41,13 @@ MIX_RATE = 10
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2048, 2048)], np.int32)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32)
 
-_EVEN = np.array([k << (SCALE - 4) for k in range(17)], np.uint16)
-# where the cumulative counts move when a nibble is seen
-_TOWARDS = np.array([[k * LEAST + (k > s) * ((1 << SCALE) - 16 * LEAST) for k in range(17)] for s in range(16)], np.int32)
+# A distribution over 16 nibbles is a row of 17 cumulative counts from 0 to FULL; the
+# coder adds LEAST for every nibble, which makes 1 << SCALE in all.
+FULL = (1 << SCALE) - 16 * LEAST
+_EVEN = np.array([k * FULL // 16 for k in range(17)], np.int16)
+# where the counts move when a nibble is seen
+_TOWARDS = np.array([[(k > s) * FULL for k in range(17)] for s in range(16)], np.int16)
+_FLOORS = np.array([k * LEAST for k in range(1, 16)], np.int16)
 
 
 class _Model:
@@ -51,6 +55,7 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes, dtype=np.int64)
+        self.lane_slots, self.lane_rows, self.lane_marks = self.lane * SLOTS, self.lane * ROWS, self.lane * 8
         self.two, self.one = np.zeros(lanes * SLOTS, np.uint32), np.zeros(lanes * SLOTS, np.uint32)
         self.rows = np.tile(_EVEN, (lanes * ROWS, 1))
         self.estimates = [np.full(lanes * 8, 1 << 15, np.uint16) for _ in range(3)]
@@ -60,10 +65,10 @@ class _Model:
 
     def predict(self, n: int):
         """Slots, stored predictions, the id tried and whether there is one, for the first n lanes."""
-        lane = self.lane[:n]
+        base = self.lane_slots[:n]
         a, b = self.a[:n], self.b[:n]
-        s1 = lane * SLOTS + ((b * 40503 >> 4) & (SLOTS - 1))
-        s2 = lane * SLOTS + ((a * 48271 + b * 69621 >> 6) & (SLOTS - 1))
+        s1 = base + ((b * 40503 >> 4) & (SLOTS - 1))
+        s2 = base + ((a * 48271 + b * 69621 >> 6) & (SLOTS - 1))
         v1, v2 = self.one[s1], self.two[s2]
         n1, n2 = (v1 >> 16).astype(np.int64), (v2 >> 16).astype(np.int64)
         tried = np.where(n2 > 0, v2, v1) & 0xFFFF
@@ -71,12 +76,12 @@ class _Model:
 
     def chance(self, n: int, n1, n2, agree):
         """12-bit probability that the prediction is right, and what updating needs."""
-        lane8 = self.lane[:n] * 8
+        lane8 = self.lane_marks[:n]
         at = [lane8 + n2 * 2 + agree, lane8 + n1 * 2 + agree, lane8 + self.recent[:n]]
         st = [_STRETCH[e[i] >> 4] for e, i in zip(self.estimates, at, strict=True)]
         dot = sum(w[:n] * s for w, s in zip(self.weights, st, strict=True)) >> 16
-        p = _SQUASH[np.clip(dot, -2047, 2047) + 2048]
-        return np.clip(p, 16, 4080), at, st
+        p = _SQUASH[np.maximum(np.minimum(dot, 2047), -2047) + 2048]
+        return np.maximum(np.minimum(p, 4080), 16), at, st
 
     def learn_chance(self, n: int, hit, p, at, st) -> None:
         err = ((hit.astype(np.int32) << 12) - p) * MIX_RATE
@@ -84,7 +89,7 @@ class _Model:
         for e, w, i, s in zip(self.estimates, self.weights, at, st, strict=True):
             old = e[i].astype(np.int32)
             e[i] = (old + ((target - old) >> RATE)).astype(np.uint16)
-            w[:n] = np.clip(w[:n] + ((s * err) >> 10), -(1 << 19), 1 << 19)
+            w[:n] = np.maximum(np.minimum(w[:n] + ((s * err) >> 14), 1 << 19), -(1 << 19))
         self.recent[:n] = (self.recent[:n] * 2 + hit) & 7
 
     def learn_id(self, n: int, ids, s1, s2, v1, v2) -> None:
@@ -181,7 +186,7 @@ def _flag(coder, lanes, n, p, bit=None):
 def _nibbles(coder, model: _Model, lanes, ids):
     """Code (ids given) or decode (None) whole ids of some lanes."""
     m = len(lanes)
-    base, flat = lanes * ROWS, np.arange(m) * 17
+    base, flat = model.lane_rows[lanes], np.arange(m) * 17
     lo, hi = coder.lo[lanes], coder.hi[lanes]
     x = None if ids is not None else coder.x[lanes]
     whole = np.zeros(m, np.int64)
@@ -192,14 +197,17 @@ def _nibbles(coder, model: _Model, lanes, ids):
         if ids is not None:
             sym = ids >> (12 - 4 * k) & 15
         else:
-            t = np.minimum((x - lo) // r, (1 << SCALE) - 1).astype(np.uint16)
-            sym = (row[:, 1:16] <= t[:, None]).sum(1)
-        cum = row.reshape(-1)
-        hi = lo + r * cum[flat + sym + 1] - _ONE
-        lo = lo + r * cum[flat + sym]
-        wide = row.astype(np.int32)
-        wide += (_TOWARDS[sym] - wide) >> RATE
-        model.rows[at] = wide
+            t = np.minimum((x - lo) // r, np.uint64((1 << SCALE) - 1)).astype(np.int16)
+            sym = (row[:, 1:16] + _FLOORS <= t[:, None]).sum(1)
+        cum, here = row.reshape(-1), flat + sym
+        floor = sym * LEAST
+        hi = lo + r * (cum[here + 1] + (floor + LEAST)).astype(np.uint64) - _ONE
+        lo = lo + r * (cum[here] + floor).astype(np.uint64)
+        step = _TOWARDS[sym]
+        step -= row
+        step >>= RATE
+        row += step
+        model.rows[at] = row
         whole = whole << 4 | sym
         if k & 1:
             if ids is not None:
@@ -225,13 +233,13 @@ def encode(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
     lanes, last = _rows(len(ids))
     if not lanes:
         return b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
-    grid = np.zeros((lanes, BLOCK), np.int64)
+    grid = np.zeros((lanes, BLOCK), np.uint16)
     grid.reshape(-1)[:len(ids)] = ids
     grid = np.ascontiguousarray(grid.T)
     model, out = _Model(lanes), _Writer(lanes)
     for t in range(BLOCK if lanes > 1 else last):
         n = lanes if t < last else lanes - 1
-        s = grid[t, :n]
+        s = grid[t, :n].astype(np.int64)
         s1, s2, v1, v2, n1, n2, tried = model.predict(n)
         p, at, st = model.chance(n, n1, n2, ((v1 ^ v2) & 0xFFFF) == 0)
         hit = tried == s
@@ -255,7 +263,7 @@ def decode(payload: bytes, sizes: np.ndarray, crcs: np.ndarray, count: int) -> n
     if len(sizes) != lanes or len(payload) != 2 * int(np.sum(sizes)):
         raise ValueError("the record is cut short")
     model, coder = _Model(lanes), _Reader(np.frombuffer(payload, "<u2"), np.asarray(sizes))
-    grid = np.zeros((BLOCK, lanes), np.uint32)
+    grid = np.zeros((BLOCK, lanes), np.uint16)
     for t in range(BLOCK if lanes > 1 else last):
         n = lanes if t < last else lanes - 1
         s1, s2, v1, v2, n1, n2, tried = model.predict(n)
@@ -267,7 +275,7 @@ def decode(payload: bytes, sizes: np.ndarray, crcs: np.ndarray, count: int) -> n
         s[miss] = _nibbles(coder, model, miss, None)
         model.learn_id(n, s, s1, s2, v1, v2)
         grid[t, :n] = s
-    ids = np.ascontiguousarray(grid.T).reshape(-1)[:count]
+    ids = np.ascontiguousarray(grid.T).reshape(-1)[:count].astype(np.uint32)
     raw = ids.astype("<u4").tobytes()
     for k, want in enumerate(np.asarray(crcs).tolist()):
         if zlib.crc32(raw[4 * BLOCK * k:4 * BLOCK * (k + 1)]) != want:
