@@ -200,9 +200,10 @@ def groups(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
     values = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("lead")), "distinct-fingerprints")
     roots = components(near_links(values.select("fp"), radius))
-    rooted = values.join(roots, values["fp"] == roots["node"], "left").select(
-        "fp", "lead", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("lead").alias("component_id"))
+    rooted = materialize(values.join(roots, values["fp"] == roots["node"], "left").select(
+        "fp", "lead", F.coalesce("root", "fp").alias("root")), "rooted-fingerprints")
+    # written, so that both sides of the join are shuffles that a large group can be split in
+    least = materialize(rooted.groupBy("root").agg(F.min("lead").alias("component_id")), "component-ids")
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-groups")
     return rows.join(named, "fp").select("doc_id", "th", "fp", "component_id")
 
