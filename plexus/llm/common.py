@@ -10,13 +10,13 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexus.session import materialize, prepare
+from plexus.session import materialize, prepare, written_bytes
 
 # A word is a maximal run of characters other than ASCII white space.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
-# Rows up to which a counted table of short rows (keys and numbers) may be broadcast.
-BROADCAST_ROWS = 500_000
+# Bytes of Parquet files up to which a written table may be broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -77,11 +77,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def small_side(df: DataFrame, name: str, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Write ``df`` to the shared folder, count it, and mark it for broadcast only
-    when the count is within ``bound``; beyond it the join shuffles both sides."""
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and mark it for broadcast only while its files
+    are within BROADCAST_BYTES; beyond that the join shuffles both sides."""
     out = materialize(df, name)
-    return F.broadcast(out) if out.count() <= bound else out
+    files = out.inputFiles()
+    size = written_bytes(df.sparkSession, files[0].rsplit("/", 1)[0]) if files else 0
+    return F.broadcast(out) if size <= BROADCAST_BYTES else out
 
 
 def crc_mod(col_: Column, n: int) -> Column:

@@ -10,8 +10,8 @@ best balanced accuracy on the calibration fold.
 
 Scale: counts are taken over all labelled URLs with map-side partial sums, so a
 host or gram with a third of all rows is one row per task. The model is a table
-of grams over a 33-letter alphabet; it is broadcast only if it is counted within
-the bound, beyond that the join shuffles (and AQE splits a frequent gram).
+of grams over a 33-letter alphabet; it is broadcast only while its written files are
+small, beyond that the join shuffles (and AQE splits a frequent gram).
 
 Edge cases: a null URL or one without ``://`` has empty host and path, no rule
 and no score, and is blocked; repeated rows are judged one by one; an empty host
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plexus.llm.common import BROADCAST_ROWS, ascii_lower
+from plexus.llm.common import ascii_lower, small_side
 from plexus.session import materialize
 
 ORDER = 4
@@ -153,9 +153,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
         F.sum(F.when(train & (F.col("ruled") == "block"), 1).otherwise(0)).alias("rej"))
     counts = grams(shapes).groupBy("g").agg(F.sum("acc").alias("acc"), F.sum("rej").alias("rej"))
     counts = materialize(counts, "url-grams")
-    model = materialize(gram_scores(counts), "url-model")
-    if counts.count() <= BROADCAST_ROWS:
-        model = F.broadcast(model)
+    model = small_side(gram_scores(counts), "url-model")
     rows = grams(base.where("ok").select("row", "s"))
     score = rows.join(model, "g").groupBy("row").agg(
         (F.sum("llr") / F.count("llr")).alias("score"))
