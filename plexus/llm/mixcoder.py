@@ -41,13 +41,12 @@ MIX_RATE = 10
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2048, 2048)], np.int32)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32)
 
-# A distribution over 16 nibbles is a row of 17 cumulative counts from 0 to FULL; the
-# coder adds LEAST for every nibble, which makes 1 << SCALE in all.
-FULL = (1 << SCALE) - 16 * LEAST
-_EVEN = np.array([k * FULL // 16 for k in range(17)], np.int16)
+# A distribution over 16 nibbles is a row of the counts below each, of 1 << SCALE in
+# all; every nibble keeps at least LEAST.
+TOTAL = 1 << SCALE
+_EVEN = np.array([k * TOTAL // 16 for k in range(16)], np.int16)
 # where the counts move when a nibble is seen
-_TOWARDS = np.array([[(k > s) * FULL for k in range(17)] for s in range(16)], np.int16)
-_FLOORS = np.array([k * LEAST for k in range(1, 16)], np.int16)
+_TOWARDS = np.array([[k * LEAST + (k > s) * (TOTAL - 16 * LEAST) for k in range(16)] for s in range(16)], np.int16)
 
 
 class _Model:
@@ -186,7 +185,7 @@ def _flag(coder, lanes, n, p, bit=None):
 def _nibbles(coder, model: _Model, lanes, ids):
     """Code (ids given) or decode (None) whole ids of some lanes."""
     m = len(lanes)
-    base, flat = model.lane_rows[lanes], np.arange(m) * 17
+    base, flat = model.lane_rows[lanes], np.arange(m) * 16
     lo, hi = coder.lo[lanes], coder.hi[lanes]
     x = None if ids is not None else coder.x[lanes]
     whole = np.zeros(m, np.int64)
@@ -197,12 +196,14 @@ def _nibbles(coder, model: _Model, lanes, ids):
         if ids is not None:
             sym = ids >> (12 - 4 * k) & 15
         else:
-            t = np.minimum((x - lo) // r, np.uint64((1 << SCALE) - 1)).astype(np.int16)
-            sym = (row[:, 1:16] + _FLOORS <= t[:, None]).sum(1)
+            t = np.minimum((x - lo) // r, np.uint64(TOTAL - 1)).astype(np.int16)
+            below = np.packbits(row[:, 1:] <= t[:, None], axis=1).view(np.uint16)  # 15 bits
+            sym = np.bitwise_count(below).reshape(-1).astype(np.int64)
         cum, here = row.reshape(-1), flat + sym
-        floor = sym * LEAST
-        hi = lo + r * (cum[here + 1] + (floor + LEAST)).astype(np.uint64) - _ONE
-        lo = lo + r * (cum[here] + floor).astype(np.uint64)
+        upper = cum[np.minimum(here + 1, 16 * m - 1)].astype(np.uint64)
+        upper[sym == 15] = TOTAL
+        hi = lo + r * upper - _ONE
+        lo = lo + r * cum[here].astype(np.uint64)
         step = _TOWARDS[sym]
         step -= row
         step >>= RATE
