@@ -3,8 +3,8 @@
 Labels are given per document, the CRF needs them per word. In a document labelled
 toxic, a word counts as toxic if the word or one of its prefixes is found in
 toxic documents significantly more often than in others (likelihood-ratio statistic
-above EVIDENCE and RATIO times as often); all other words, and all words of other
-documents, are clean. Forward-backward gives each word its marginal. The document
+above EVIDENCE and RATIO times as often, copies of one document counted once); all
+other words, and all words of other documents, are clean. Forward-backward gives each word its marginal. The document
 score is a logistic function of the highest marginal and of the expected number of
 toxic words, fitted to the document labels at their true rate; offending spans are
 the runs of words with a marginal of one half or more.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ SAMPLE_CHARS = 20_000
 EVIDENCE = 20.0
 RATIO = 10.0
 PREDICT = 0.3
+SKETCH = 8
 PATTERN = re.compile(r"\w+|[.!?\n]")
 TASK_CHARS = 1 << 21
 
@@ -52,12 +54,34 @@ def marks(word: str) -> list[str]:
     return ["w" + w, *[f"p{k}{w[:k]}" for k in (3, 4, 5) if len(w) > k]]
 
 
-def _toxic_marks(words: list[set[str]], toxic: list[int]) -> set[str]:
-    """Marks that toxic documents have significantly more often."""
-    hot, cold = Counter(), Counter()
-    for ws, y in zip(words, toxic, strict=True):
-        (hot if y else cold).update({m for w in ws for m in marks(w)})
-    n1, n0 = max(1, sum(toxic)), max(1, len(toxic) - sum(toxic))
+def copy_groups(texts: list[str]) -> list[int]:
+    """A group number for each text of the sample: texts that share one of their SKETCH
+    smallest shingle hashes are copies of one another, wholly or in a passage."""
+    parent = list(range(len(texts)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    seen: dict[int, int] = {}
+    for i, t in enumerate(texts):
+        w = t.split()
+        hashes = {crc32(" ".join(w[k:k + 5]).encode("utf-8", "surrogatepass")) for k in range(max(1, len(w) - 4))}
+        for h in sorted(hashes)[:SKETCH]:
+            a, b = root(seen.setdefault(h, i)), root(i)
+            parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(texts))]
+
+
+def _toxic_marks(words: list[set[str]], toxic: list[int], groups: list[int]) -> set[str]:
+    """Marks that toxic documents have significantly more often; a group of copies counts once."""
+    sides: list[dict[int, set[str]]] = [{}, {}]
+    for ws, y, g in zip(words, toxic, groups, strict=True):
+        sides[y].setdefault(g, set()).update(m for w in ws for m in marks(w))
+    cold, hot = (Counter(m for ms in side.values() for m in ms) for side in sides)
+    n0, n1 = (max(1, len(side)) for side in sides)
     found = set()
     for m, a in hot.items():
         b = cold[m]
@@ -104,7 +128,7 @@ def fit(texts: list[str], toxic: list[int], rate: float) -> Model:
     bounds = np.searchsorted(seq.text, np.arange(len(texts) + 1))
     per_text = [{words[i - len(crf.BREAKS)] for i in set(seq.words[a:b].tolist())}
                 for a, b in zip(bounds, bounds[1:], strict=False)]
-    bad = _toxic_marks(per_text, toxic)
+    bad = _toxic_marks(per_text, toxic, copy_groups(texts))
     is_bad = np.array([any(m in bad for m in marks(w)) for w in words], bool)
     y = np.array(toxic, bool)
     labels = (is_bad[seq.words - len(crf.BREAKS)] & y[seq.text]).astype(np.int64) if len(seq.words) else np.zeros(0, np.int64)
