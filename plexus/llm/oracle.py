@@ -104,10 +104,10 @@ held AS (
   USING (doc_id) WHERE NOT failed),
 tests AS ({tests}),
 certified AS (
-  SELECT * FROM tests WHERE caught > 0 AND n > 0 AND k < n * {p} AND list_sum(list_transform(range(0, k + 1), lambda i:
+  SELECT * FROM tests WHERE caught > {quality.GOOD_WEIGHT} * k AND n > 0 AND k < n * {p} AND list_sum(list_transform(range(0, k + 1), lambda i:
     exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) <= {level}),
 best AS (
   SELECT stratum, rule, cutoff FROM (SELECT *, row_number() OVER (
-    PARTITION BY stratum, rule ORDER BY caught - k DESC, cutoff DESC) AS o FROM certified) WHERE o = 1)
+    PARTITION BY stratum, rule ORDER BY caught - {quality.GOOD_WEIGHT} * k DESC, cutoff DESC) AS o FROM certified) WHERE o = 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
   NOT failed AND {passed} AS kept FROM x"""

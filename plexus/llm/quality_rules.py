@@ -8,7 +8,8 @@ exceed it" at level ``delta / (strata * rules * cutoffs)`` (Bonferroni). That is
 the same as an upper Clopper-Pearson bound at or below ``alpha / rules``. With
 probability ``1 - delta`` the rules together reject at most ``alpha`` of the good
 documents in every stratum. Among certified cutoffs the one with the most bad
-less good holdout documents rejected is taken, the mildest on ties; a stratum without enough
+holdout documents rejected, less GOOD_WEIGHT for every good one, is taken, the
+mildest on ties, if that is above zero; a stratum without enough
 labels certifies nothing and rejects nothing.
 
 Everything is DataFrame functions: one narrow pass for the counts, one
@@ -43,6 +44,7 @@ RULES = ("symbol_rate", "dup_line_rate", "repeat_rate", "shout_rate", "caps_rate
 CUTOFFS = (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.75)
 ALPHA = 0.05
 DELTA = 0.05
+GOOD_WEIGHT = 10  # a good document lost weighs as much as so many bad ones caught
 
 #: Terms of the binomial tail that are summed; see ``binomial_cdf``.
 TAIL_TERMS = 20_000
@@ -174,10 +176,10 @@ def calibrate(rated: DataFrame, labels: DataFrame, label_col: str = "quality", g
     level = F.lit(delta) / (strata * len(RULES) * len(CUTOFFS))
     certified = (counts.select("stratum", "n_good", tests.alias("t"))
                  .select("stratum", "n_good", "t.*")
-                 .where((F.col("caught") > 0) & (F.col("n_good") > 0))
+                 .where((F.col("caught") > GOOD_WEIGHT * F.col("k")) & (F.col("n_good") > 0))
                  .where(binomial_cdf(F.col("k"), F.col("n_good"), alpha / len(RULES)) <= level))
     best = certified.groupBy("stratum", "rule").agg(
-        F.max_by("cutoff", F.struct(F.col("caught") - F.col("k"), F.col("cutoff"))).alias("cutoff"))
+        F.max_by("cutoff", F.struct(F.col("caught") - GOOD_WEIGHT * F.col("k"), F.col("cutoff"))).alias("cutoff"))
     return best.groupBy("stratum").agg(*[
         F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES])
 
