@@ -195,6 +195,20 @@ def test_toxicity_finds_words_and_offsets(spark, odd, none):
     assert {r.score for r in toxicity.score(odd, empty).collect()} == {0.0}
 
 
+def test_copies_of_a_document_are_no_evidence():
+    rng = np.random.default_rng(2)
+    plain = [f"w{i}" for i in range(300)]
+    copy = " ".join(rng.choice(plain, 40)) + " rareword oddword " + " ".join(rng.choice(plain, 40))
+    texts = [copy + f" tail{i}" for i in range(50)] + [" ".join(rng.choice(plain, 60)) for _ in range(150)]
+    y = [1] * 50 + [0] * 150
+    groups = toxicity.copy_groups(texts)
+    assert len(set(groups[:50])) == 1 and len(set(groups[50:])) == 150
+    words_ = [set(t.split()) for t in texts]
+    assert not toxicity._toxic_marks(words_, y, groups)
+    assert "wrareword" in toxicity._toxic_marks(words_, y, list(range(200)))
+    assert toxicity.copy_groups(["", "", "a b"])[2] == 2
+
+
 def test_toxicity_held_out(spark):
     got = queries.toxic(spark, "/root/testdata/sf0.01").collect()
     lab = {r.doc_id: r.toxic for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
