@@ -30,7 +30,6 @@ read whole; an empty table gives an empty result; other columns are never read.
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
