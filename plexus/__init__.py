@@ -2,7 +2,7 @@
 
 Layers: raw events (Bronze) -> cleaned events (Silver) -> curated edges (Gold)
 -> interaction multigraph -> centralities, communities and dashboard queries.
-Every step is a DataFrame -> DataFrame function; nothing passes through the driver.
+Every step is a DataFrame -> DataFrame function; only counts and single rows reach the driver.
 """
 
 from plexus.session import build_session, prepare  # noqa: F401

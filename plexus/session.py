@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import itertools
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job of the library assumes. AQE re-plans joins at run time
 # (broadcast when a side turns out small, splits skewed partitions) and
