@@ -24,7 +24,9 @@ fingerprints and changes only the work, never the links.
 Edge cases: null, empty and blank texts have fingerprint 0 and are linked like any
 other; repeated rows share their fingerprint and component; a null doc_id is kept
 and never becomes a component's id unless the component has no other; texts are
-read whole; an empty table gives an empty result; other columns are never read.
+read whole; unrelated texts without a doc_id, or with the same one, share a
+component_id but stay apart in ``keep_one``; an empty table gives an empty result;
+other columns are never read.
 """
 
 from __future__ import annotations
@@ -194,13 +196,19 @@ def near_links(values: DataFrame, radius: int) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "u long, v long")
 
 
-def groups(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
-    """doc_id, th, fp, component_id of every row."""
+def rooted_fingerprints(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, th, fp of every row; fp, lead (its smallest doc_id), root (the fingerprint that
+    names its component) of every distinct fingerprint."""
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
     values = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("lead")), "distinct-fingerprints")
     roots = components(near_links(values.select("fp"), radius))
-    rooted = materialize(values.join(roots, values["fp"] == roots["node"], "left").select(
+    return rows, materialize(values.join(roots, values["fp"] == roots["node"], "left").select(
         "fp", "lead", F.coalesce("root", "fp").alias("root")), "rooted-fingerprints")
+
+
+def groups(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """doc_id, th, fp, component_id of every row."""
+    rows, rooted = rooted_fingerprints(docs, shingle, radius)
     # written, so that both sides of the join are shuffles that a large group can be split in
     least = materialize(rooted.groupBy("root").agg(F.min("lead").alias("component_id")), "component-ids")
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-groups")
@@ -215,9 +223,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row of each group, all columns as they came: the one with the smallest doc_id
-    (of several with that doc_id, the one whose text hash is smallest)."""
-    found = groups(docs, shingle, radius)
-    first = found.groupBy("component_id").agg(
+    (of several with that doc_id, the one whose text hash is smallest). Groups are told
+    apart by their root, as component ids may be null or shared by unrelated texts."""
+    rows, rooted = rooted_fingerprints(docs, shingle, radius)
+    first = rows.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("th"))).alias("x"))
     i, h = fresh(docs, "_id"), fresh(docs, "_text_hash")
     keep = first.select(F.col("x.doc_id").alias(i), F.col("x.th").alias(h)).distinct()

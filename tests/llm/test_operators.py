@@ -409,6 +409,14 @@ def test_simhash_matches_brute_force(spark, docs, odd, none):
         assert kept.columns == df.columns and kept.count() == len(set(root.values()))
 
 
+def test_unrelated_texts_that_share_an_id_are_kept(spark):
+    texts = ["the quick brown fox jumps over the lazy dog", "colourless green ideas sleep furiously all night long",
+             "it was a bright cold day in april and clocks struck", "call me ishmael some years ago never mind how long"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, kept)) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in zip((None, None, 7, 7), texts, strict=True))
+
+
 @pytest.mark.parametrize("shard", [20_000, 40])
 def test_shards_lose_no_link(spark, shard, monkeypatch):
     monkeypatch.setattr(simhash, "SHARD", shard)
