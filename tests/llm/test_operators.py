@@ -537,6 +537,26 @@ def test_secret_candidates_and_redaction(spark, odd, none):
     assert secret_scan.scan(none).count() == 0 and secret_scan.redact(none).count() == 0
 
 
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxIn0.abcDEFghiJKLmno"
+PEM = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4\n\nabcd\nEFgh\n-----END RSA PRIVATE KEY-----"
+SHAPES = [  # text before, secret, text after
+    ('password = "', "correcthorsebattery", '" x'), ("a password=", "P@ss!w0rd#Xy9", ", b"), ("pwd: ", "hunter2", " and"),
+    ('{"db_password":"', r"a b\"c!", '","u":1}'), ("db2_password=", "xyz.abc", ""), ("Authorization: Bearer ", "q.w~e", ""),
+    ("\x01\x02🙂 token := '", "a\x01b 🙂", "'"), ('password="', "x" * 100_000, '" end'), ('secret: ', r"\"a" * 5000, ""),
+    ("jwt ", JWT, " end"), ("k ", PEM, " z"), ("x ", "AbCdEfGhIjKlMnOpQr", "==")]
+
+
+def test_secrets_of_other_shapes(spark):
+    rows = [(-i - 1, a + v + b, "s") for i, (a, v, b) in enumerate(SHAPES)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {(r.doc_id, r.start, r.end) for r in secret_scan.scan(df).collect()}
+    assert {(-i - 1, len(a), len(a) + len(v)) for i, (a, v, _) in enumerate(SHAPES)} <= got
+    out = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert out[-10] == "jwt [SECRET] end" and out[-11] == "k [SECRET] z" and "correct" not in out[-1]
+    plain = [("author: Smith",), ("password:",), ("see passages: https://a.b/c",), ("getElementById",), (None,)]
+    assert not spark.createDataFrame(plain, "text string").where(secret_scan.with_candidates(F.col("text"))).count()
+
+
 # ---------------------------------------------------------------- 10 quality
 
 def plain_measures(text):
