@@ -557,6 +557,17 @@ def test_secrets_of_other_shapes(spark):
     assert not spark.createDataFrame(plain, "text string").where(secret_scan.with_candidates(F.col("text"))).count()
 
 
+@pytest.mark.parametrize("gap", [" ", "  ", "\t\t ", "\n    ", "\r\n\t"])
+def test_neighbouring_words_of_a_secret(spark, gap):
+    value = "24be64439e3e49cf46b2d7c9"
+    for q in ("", '"'):
+        text = f"  my token{gap}={gap}{q}{value}{q}{gap}12 next"
+        df = spark.createDataFrame([(0, 1, text, "s")], "row long, doc_id long, text string, source string")
+        [r] = secret_scan.features(secret_scan.candidates(df).withColumn("covered", F.lit(0.0))).collect()
+        assert (r.prev, r.left, r.after) == ("token =", q, "12") and text[r.start:r.end] == value
+        assert (r.key_word, r.assigned, r.quoted, r.next_number) == (1, 1, bool(q), 1)
+
+
 # ---------------------------------------------------------------- 10 quality
 
 def plain_measures(text):
