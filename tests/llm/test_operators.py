@@ -568,6 +568,17 @@ def test_neighbouring_words_of_a_secret(spark, gap):
         assert (r.key_word, r.assigned, r.quoted, r.next_number) == (1, 1, bool(q), 1)
 
 
+def test_dictionary_takes_whole_words_of_distinct_texts(spark, monkeypatch):
+    texts = ["token = a1b2c3d4e5f67LmQzRtWxYv copied"] * 9  # copies of one text
+    texts += [f'plain words {i} here, card 4994226020900891{i} pass="inside!value" 77kQzRt7wXyvb' for i in range(6)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row long, text string")
+    def got():
+        return {r.dict_word for r in secret_scan.dictionary(df).collect()}
+    assert got() == {"plain", "words", "here", "card"}
+    monkeypatch.setattr(secret_scan, "DICTIONARY_SHARE", 0.9)  # of 7 distinct texts: 7
+    assert got() == set()
+
+
 # ---------------------------------------------------------------- 10 quality
 
 def plain_measures(text):
