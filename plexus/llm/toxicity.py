@@ -3,8 +3,9 @@
 Labels are given per document, the CRF needs them per word. In a document labelled
 toxic, a word counts as toxic if the word or one of its prefixes is found in
 toxic documents significantly more often than in others (likelihood-ratio statistic
-above EVIDENCE and RATIO times as often, copies of one document counted once); all
-other words, and all words of other documents, are clean. Forward-backward gives each word its marginal. The document
+above EVIDENCE and RATIO times as often, copies of one document and a passage that
+toxic documents share counted once); all other words, and all words of other
+documents, are clean. Forward-backward gives each word its marginal. The document
 score is a logistic function of the highest marginal and of the expected number of
 toxic words, fitted to the document labels at their true rate; offending spans are
 the runs of words with a marginal of one half or more.
@@ -40,7 +41,7 @@ SAMPLE_CHARS = 20_000
 EVIDENCE = 20.0
 RATIO = 10.0
 PREDICT = 0.3
-SKETCH = 8
+SKETCH = 256
 PATTERN = re.compile(r"\w+|[.!?\n]")
 TASK_CHARS = 1 << 21
 
@@ -55,8 +56,8 @@ def marks(word: str) -> list[str]:
 
 
 def copy_groups(texts: list[str]) -> list[int]:
-    """A group number for each text of the sample: texts that share one of their SKETCH
-    smallest shingle hashes are copies of one another, wholly or in a passage."""
+    """A group number for each text of the sample: texts with most of their shingles in
+    common are copies of one another; a shared passage in different texts makes none."""
     parent = list(range(len(texts)))
 
     def root(i: int) -> int:
@@ -65,16 +66,51 @@ def copy_groups(texts: list[str]) -> list[int]:
             i = parent[i]
         return i
 
-    seen: dict[int, int] = {}
+    sets, first = [], {}  # equal sets of shingles are one
     for i, t in enumerate(texts):
         w = t.split()
-        hashes = {crc32(" ".join(w[k:k + 5]).encode("utf-8", "surrogatepass")) for k in range(max(1, len(w) - 4))}
-        for h in sorted(hashes)[:SKETCH]:
-            a, b = root(seen.setdefault(h, i)), root(i)
-            parent[max(a, b)] = min(a, b)
+        hashes = frozenset(crc32(" ".join(w[k:k + 5]).encode("utf-8", "surrogatepass")) for k in range(max(1, len(w) - 4)))
+        sets.append(hashes)
+        parent[i] = first.setdefault(hashes, i)
+    each = list(first.values())
+    sketches = [sorted(sets[i])[:SKETCH] for i in each]
+    holders: dict[int, list[int]] = {}
+    for i, sketch in zip(each, sketches, strict=True):
+        seen = [np.array(holders[h]) for h in sketch if h in holders]
+        if seen:
+            near, common = np.unique(np.concatenate(seen), return_counts=True)
+            for j, c in zip(near.tolist(), common.tolist(), strict=True):
+                # so many at least of the smallest hashes are common where most of all are
+                if 8 * c >= 3 * min(len(sketch), len(sets[j])) and root(i) != root(j):
+                    both = len(sets[i] & sets[j])
+                    if 2 * both > len(sets[i]) + len(sets[j]) - both:
+                        a, b = root(i), root(j)
+                        parent[max(a, b)] = min(a, b)
+        for h in sketch:
+            holders.setdefault(h, []).append(i)
     return [root(i) for i in range(len(texts))]
 
 
+def novel(seq: crf.Sequences, toxic: list[int], groups: list[int]) -> np.ndarray:
+    """Whether each word is evidence: in a toxic text only the first group of texts that has
+    the word between the same two words before and after it; elsewhere all."""
+    n = len(seq.words)
+    if not n:
+        return np.zeros(0, bool)
+    wide = np.concatenate([[-1, -1], seq.words, [-1, -1]])
+    text = np.concatenate([[-1, -1], seq.text, [-1, -1]])
+    around = np.stack([np.where(text[k:k + n] == seq.text, wide[k:k + n], -1) for k in range(5)], 1)
+    group = np.array(groups)[seq.text]
+    hot = np.flatnonzero(np.array(toxic, bool)[seq.text])
+    out = np.ones(n, bool)
+    if len(hot):
+        order = hot[np.lexsort((group[hot], *around[hot].T))]
+        start = np.concatenate([[True], (around[order[1:]] != around[order[:-1]]).any(1)])
+        lead = group[order][start][np.cumsum(start) - 1]
+        out[order] = group[order] == lead
+    return out
+
+
 def _toxic_marks(words: list[set[str]], toxic: list[int], groups: list[int]) -> set[str]:
     """Marks that toxic documents have significantly more often; a group of copies counts once."""
     sides: list[dict[int, set[str]]] = [{}, {}]
@@ -92,6 +128,16 @@ def _toxic_marks(words: list[set[str]], toxic: list[int], groups: list[int]) ->
     return found
 
 
+def found_marks(texts: list[str], toxic: list[int], seq: crf.Sequences, words: list[str]) -> set[str]:
+    """The toxic marks of the sample, neither copies nor shared passages taken for evidence."""
+    bounds = np.searchsorted(seq.text, np.arange(len(texts) + 1))
+    groups = copy_groups(texts)
+    counts = novel(seq, toxic, groups)
+    per_text = [{words[i - len(crf.BREAKS)] for i in set(seq.words[a:b][counts[a:b]].tolist())}
+                for a, b in zip(bounds, bounds[1:], strict=False)]
+    return _toxic_marks(per_text, toxic, groups)
+
+
 @dataclass
 class Model:
     chain: crf.CRF | None
@@ -125,10 +171,7 @@ def fit(texts: list[str], toxic: list[int], rate: float) -> Model:
     index = crf.Words()
     seq = crf.read(texts, PATTERN, index)
     words = index.new
-    bounds = np.searchsorted(seq.text, np.arange(len(texts) + 1))
-    per_text = [{words[i - len(crf.BREAKS)] for i in set(seq.words[a:b].tolist())}
-                for a, b in zip(bounds, bounds[1:], strict=False)]
-    bad = _toxic_marks(per_text, toxic, copy_groups(texts))
+    bad = found_marks(texts, toxic, seq, words)
     is_bad = np.array([any(m in bad for m in marks(w)) for w in words], bool)
     y = np.array(toxic, bool)
     labels = (is_bad[seq.words - len(crf.BREAKS)] & y[seq.text]).astype(np.int64) if len(seq.words) else np.zeros(0, np.int64)

@@ -209,6 +209,25 @@ def test_copies_of_a_document_are_no_evidence():
     assert toxicity.copy_groups(["", "", "a b"])[2] == 2
 
 
+def test_shared_passages_neither_hide_nor_make_evidence():
+    rng = np.random.default_rng(3)
+    plain = [f"w{i}" for i in range(300)]
+    footer = " ".join(f"foot{i}" for i in range(55))
+
+    def text(i, bad, end):
+        own = [*rng.choice(plain, 80)]
+        own[7:7] = bad
+        own[50:50] = bad
+        return " ".join([*own, *end])
+    texts = [text(i, ["vileword"], [footer, "only toxic texts end thus"]) for i in range(60)] + [text(i, [], [footer]) for i in range(140)]
+    y = [1] * 60 + [0] * 140
+    assert len(set(toxicity.copy_groups(texts))) == 200
+    index = toxicity.crf.Words()
+    seq = toxicity.crf.read(texts, toxicity.PATTERN, index)
+    found = toxicity.found_marks(texts, y, seq, index.new)
+    assert "wvileword" in found and not found & {"wfoot3", "wonly", "wtoxic", "wtexts"}
+
+
 def test_toxicity_held_out(spark):
     got = queries.toxic(spark, "/root/testdata/sf0.01").collect()
     lab = {r.doc_id: r.toxic for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
