@@ -111,3 +111,49 @@ best AS (
     PARTITION BY stratum, rule ORDER BY caught - {quality.GOOD_WEIGHT} * k DESC, cutoff DESC) AS o FROM certified) WHERE o = 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
   NOT failed AND {passed} AS kept FROM x"""
+
+
+def collocations_sql(least: int, top: int, order: int) -> str:
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\n\\v\\f\\r]')) AS p FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(p, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+spots AS (SELECT lang, w, unnest(range(1, {order + 1})) AS k FROM words),
+runs AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM spots),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, CAST(count(*) AS HUGEINT) AS a
+  FROM runs GROUP BY 1, 2, 3 HAVING count(*) >= {least}),
+cand AS (SELECT lang, k, g, a, string_split(g, ' ') AS w FROM f WHERE k > 1),
+inner_ AS (SELECT c.lang, c.a, c.w, s.size, i.spot FROM cand c, range(2, {order}) s(size), range(1, {order}) i(spot)
+  WHERE s.size < c.k AND i.spot + s.size - 1 <= c.k),
+longer AS (SELECT lang, array_to_string(w[spot:spot + size - 1], ' ') AS g, max(a) AS longer FROM inner_ GROUP BY 1, 2),
+left_ AS (SELECT c.* FROM cand c LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g
+  WHERE o.longer IS NULL OR o.longer * 100 < c.a * 100),
+cuts AS (SELECT c.lang, c.g, c.a, x.cut, array_to_string(w[1:x.cut], ' ') AS u, array_to_string(w[x.cut + 1:], ' ') AS v
+  FROM left_ c, range(1, {order}) x(cut) WHERE x.cut < c.k),
+scored AS (SELECT c.lang, c.g, c.cut, c.a, u.a AS l, v.a AS r, t.n, (1000 * c.a * t.n) // (u.a * v.a) AS score
+  FROM cuts c JOIN f u ON u.lang = c.lang AND u.g = c.u JOIN f v ON v.lang = c.lang AND v.g = c.v
+  JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM lowest)
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {top}"""
+
+
+def ranked_search_sql(k: int) -> str:
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {terms} AS t FROM documents),
+total AS (SELECT count(*) AS nd, sum(len(t)) AS nt FROM d WHERE len(t) > 0),
+tf AS (SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(t) AS t FROM d) GROUP BY 1, 2),
+q AS (SELECT DISTINCT item_id, text FROM benchmark),
+qt AS (SELECT DISTINCT item_id, text, unnest({terms}) AS t FROM q),
+df AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * (SELECT nd FROM total) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf GROUP BY t),
+m AS (SELECT row, doc_id, 100 - 90 + (90 * len(t) * nd) // nt AS m FROM d, total WHERE len(t) > 0),
+scores AS (SELECT qt.item_id, qt.text, m.doc_id, m.row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM qt JOIN tf USING (t) JOIN df USING (t) JOIN m USING (row) GROUP BY 1, 2, 3, 4),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {k}"""

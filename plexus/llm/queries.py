@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plexus.llm import (
+    collocations,
     decontamination,
     language_id,
     oracle,
     packing,
     quality_rules,
+    ranked_search,
+    rp_forest,
     secret_scan,
     simhash,
     token_counts,
@@ -86,6 +89,18 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, share=100, top=2000)
+
+
+def lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_url_filters": url_filters,
     "op2_toxicity": toxic,
@@ -97,6 +112,9 @@ QUERIES = {
     "op8_decontamination": benchmark_copies,
     "op9_secret_scans": secrets,
     "op10_quality_rules": quality,
+    "op11_nearest_neighbours": neighbours,
+    "op12_collocations": phrases,
+    "op13_ranked_search": lexical,
 }
 
 # The other operators hash with XXH64, align, train or call a tokenizer, which SQL
@@ -104,4 +122,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filters": oracle.url_sql(URL_RULES),
     "op10_quality_rules": oracle.quality_sql(),
+    "op12_collocations": oracle.collocations_sql(least=100, top=2000, order=collocations.ORDER),
+    "op13_ranked_search": oracle.ranked_search_sql(k=10),
 }
