@@ -92,11 +92,18 @@ def action_by_date(edges: DataFrame) -> DataFrame:
 
 
 def action_date_pivot(edges: DataFrame, dates: list) -> DataFrame:
-    """Action x date matrix of the given dates, zero-filled, one column a date; actions
-    without an event on any of them keep a row of zeros. One aggregation."""
+    """Action x date matrix of the given dates, zero-filled, one column a date, and ``other``
+    with the events of all other days, so that a row adds up to its action's events; actions
+    without an event on any of the dates keep a row of zeros. One aggregation."""
     day = F.to_date("event_time")
+    given = day.isin([F.lit(str(d)).cast("date") for d in dates]) if dates else F.lit(False)
     return (edges.where(F.col("event_time").isNotNull()).groupBy("action")
-            .agg(*[F.count_if(day == F.lit(d)).alias(str(d)) for d in dates]).orderBy("action"))
+            .agg(*[F.count_if(day == F.lit(d)).alias(str(d)) for d in dates], F.count_if(~given).alias("other")).orderBy("action"))
+
+
+def event_dates(edges: DataFrame) -> list:
+    """The days that occur, ascending: the columns of a whole pivot (one value a day)."""
+    return [r.d for r in edges.select(F.to_date("event_time").alias("d")).where("d is not null").distinct().orderBy("d").collect()]
 
 
 def user_out_edges(edges: DataFrame, user: str) -> DataFrame:

@@ -14,16 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plexus.functions.columns import calendar_columns, resolve_time_column
-from plexus.operators import communities, gold, paths, silver, triangles
+from plexus.operators import communities, gold, increments, paths, silver, triangles
 from plexus.operators.graph import Graph, build_graph, degrees, graph_counts, graph_stats, undirected_pattern
 from plexus.operators.pagerank import pagerank_run
 from plexus.plans import activity, rankings
 from plexus.plans.oracle import CENTER, COMMUNITY, INFLUENCER_MIN, PATH_TO, PIVOT_DATES, TOP_N
+from plexus.schemas import EVENT
 from plexus.session import file_identity, materialize, observation, prepare, scratch_path
-from plexus.sources import tables
+from plexus.sources import quarantine, tables
 from plexus.sources.events_adapter import events_path, interactions
 from plexus.sources.messages import parse_messages, to_messages
-from plexus.streaming.bronze import run_bronze_stream, write_message_files
+from plexus.streaming import compaction, counters, windows
+from plexus.streaming import silver as silver_streaming
+from plexus.streaming.bronze import idempotent_batch_writer, run_bronze_stream, start_bronze, write_message_files
 
 R = rankings.ROUND
 _CACHE: dict = {}
@@ -125,7 +128,6 @@ def q_bronze_parse(spark, sf_dir):
 def q_bronze_scan(spark, sf_dir):
     path = scratch_path(spark, "bronze")
     tables.write_table(bronze(spark, sf_dir), path)
-    from plexus.schemas import EVENT
     return tables.read_table(spark, path, schema=EVENT)
 
 
@@ -136,6 +138,202 @@ def q_stream_bronze(spark, sf_dir):
     return out
 
 
+# ---------------------------------------------------------------- streams with state
+
+CHUNKS = 3  # parts of the time range that are delivered one after the other, with a restart between them
+
+
+def _delivered(spark: SparkSession, sf_dir: str, held_back: bool = False) -> DataFrame:
+    """Silver edges as Bronze rows with ``chunk``, the delivery that brings them: their third of the
+    time range, or with ``held_back`` the last for one minute in ten."""
+    e = edges_df(spark, sf_dir)
+    second = F.unix_timestamp("event_time")
+    low, high = e.agg(F.min(second), F.max(second)).first()  # one row
+    chunk = F.least(F.lit(CHUNKS - 1), F.floor((second - F.lit(low or 0)) * CHUNKS / F.lit(max(1, (high or 0) - (low or 0)))))
+    if held_back:
+        chunk = F.when(F.minute("event_time") % 10 == 7, CHUNKS - 1).otherwise(chunk)
+    return e.select("user_from", "user_to", "action", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                    chunk.cast("int").alias("chunk"))
+
+
+def _run_in_chunks(spark: SparkSession, rows: DataFrame, start: Callable) -> None:
+    """Deliver the chunks; after each, ``start(source path)`` goes on from the checkpoint and ends."""
+    root = scratch_path(spark, "messages")
+    for c in range(CHUNKS):
+        write_message_files(rows.where(F.col("chunk") == c).drop("chunk"), f"{root}/part{c}")
+        start(f"{root}/*").awaitTermination()
+
+
+def _windows(spark: SparkSession, sf_dir: str, aggregate: Callable, held_back: bool = False) -> tuple[str, str]:
+    """(sink, checkpoint) of a windowed stream over all deliveries."""
+    sink, ckpt = scratch_path(spark, "windows"), scratch_path(spark, "windows-ckpt")
+    _run_in_chunks(spark, _delivered(spark, sf_dir, held_back), lambda src: windows.start_windows(
+        spark, aggregate, src, sink, ckpt, available_now=True))
+    return sink, ckpt
+
+
+def _hourly_windows(spark, sf_dir):
+    return _memo(spark, sf_dir, "hourly-windows", lambda: _windows(
+        spark, sf_dir, lambda e: windows.counts(e, F.window(windows.TIME, "1 hour")), held_back=True))
+
+
+def q_stream_hourly_windows(spark, sf_dir):
+    """Tumbling hours, closed and open, after deliveries some of whose rows were late."""
+    return windows.live_windows(spark, *_hourly_windows(spark, sf_dir)).select(
+        "window_start", "window_end", "action", "events", "closed")
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Rows delivered, rows in a window, rows that were late."""
+    counted = windows.live_windows(spark, *_hourly_windows(spark, sf_dir)).agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("in_windows"))
+    rows = edges_df(spark, sf_dir).agg(F.count(F.lit(1)).alias("delivered"))
+    return rows.crossJoin(counted).select("delivered", "in_windows", (F.col("delivered") - F.col("in_windows")).alias("late"))  # one row each
+
+
+def q_stream_sliding_windows(spark, sf_dir):
+    """Days that begin every six hours; the closed ones."""
+    sink, _ = _windows(spark, sf_dir, lambda e: windows.counts(e, F.window(windows.TIME, "1 day", "6 hours")))
+    return spark.read.parquet(sink).select("window_start", "window_end", "action", "events")
+
+
+def q_stream_session_windows(spark, sf_dir):
+    """Each user's sessions (no gap of six hours); the closed ones."""
+    sink, _ = _windows(spark, sf_dir, lambda e: windows.counts(
+        e, F.session_window(windows.TIME, "6 hours"), keys=("user_from",)))
+    return spark.read.parquet(sink).select("window_start", "window_end", "user_from", "events")
+
+
+def q_stream_daily_active(spark, sf_dir):
+    """Interactions and active users of the closed days."""
+    sink, _ = _windows(spark, sf_dir, windows.active_users)
+    return spark.read.parquet(sink).select("window_start", "window_end", "interactions", "active_users")
+
+
+def q_stream_silver(spark, sf_dir):
+    """Silver from the stream; each delivery but the first repeats rows of the one before it."""
+    raw = bronze(spark, sf_dir)
+    at = F.to_date("timestamp")
+    low, high = raw.agg(F.min(at), F.max(at)).first()  # one row
+    day = F.datediff(at, F.lit(low))
+    chunk = F.floor(day * CHUNKS / ((high - low).days + 1 if low else 1)).cast("int")
+    rows = materialize(raw.withColumn("chunk", chunk), "bronze-chunks")
+    again = rows.where((F.col("chunk") < CHUNKS - 1) & (F.dayofmonth("timestamp") % 2 == 0)).withColumn("chunk", F.col("chunk") + 1)
+    sink, ckpt = scratch_path(spark, "silver-stream"), scratch_path(spark, "silver-stream-ckpt")
+    _run_in_chunks(spark, rows.unionByName(again), lambda src: silver_streaming.start_silver(
+        spark, src, sink, ckpt, available_now=True))
+    return silver_streaming.read_silver(spark, sink)
+
+
+def q_stream_counters(spark, sf_dir):
+    """Rows in, rejected and written, summed over the stream's batches (as the listener stored
+    them), beside the rows of the Bronze table."""
+    path, sink, ckpt = (scratch_path(spark, n) for n in ("counters", "counted-bronze", "counted-ckpt"))
+    listener = counters.CounterListener(spark, path, "counted")
+    spark.streams.addListener(listener)
+
+    def start(src):
+        q = start_bronze(spark, "text", sink, ckpt, source_path=src, available_now=True, transform=counters.observed, name="counted")
+        q.awaitTermination()
+        listener.ended.wait(60)
+        return q
+
+    try:
+        _run_in_chunks(spark, _damaged(_delivered(spark, sf_dir)), start)
+    finally:
+        spark.streams.removeListener(listener)
+    sums = counters.read_counters(spark, path).agg(*[F.sum(m).alias(m) for m in counters.METRICS])
+    table = spark.read.schema(EVENT).parquet(sink).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    return sums.crossJoin(table)  # one row each
+
+
+def q_stream_compacted(spark, sf_dir):
+    """Bronze of a stream that was compacted between its deliveries."""
+    root, ckpt = scratch_path(spark, "compacted"), scratch_path(spark, "compacted-ckpt")
+
+    def start(src):
+        q = start_bronze(spark, "text", root, ckpt, source_path=src, available_now=True,
+                         batch_writer=idempotent_batch_writer(compaction.data_path(root)))
+        q.awaitTermination()
+        compaction.compact(spark, root, ckpt, EVENT)
+        return q
+
+    _run_in_chunks(spark, _delivered(spark, sf_dir), start)
+    return compaction.read_batches(spark, root, EVENT)
+
+
+# ---------------------------------------------------------------- increments and rejects
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Bronze rows, those of one minute in thirty without any value."""
+    bad = F.minute("timestamp") % 30 == 13
+    return rows.select(*[F.when(~bad, F.col(c)).alias(c) if c in EVENT.fieldNames() else F.col(c) for c in rows.columns])
+
+
+def q_quarantine_messages(spark, sf_dir):
+    """Messages by what became of them: one minute in thirty is cut, one an array, one null, one without fields."""
+    minute = F.minute("timestamp") % 30
+    text = F.to_json(F.struct(*EVENT.fieldNames()))
+    sent = bronze(spark, sf_dir).select(
+        F.when(minute == 3, F.substring(text, 1, 20)).when(minute == 4, F.concat(F.lit("["), text, F.lit("]")))
+        .when(minute == 6, F.lit('{"x":1}')).when(minute != 5, text).cast("binary").alias("value"))
+    checked = materialize(quarantine.checked_messages(sent), "checked")
+    good = F.col("reason").isNull()
+    return checked.groupBy(F.coalesce("reason", F.lit("good")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(good & F.col("user_from").isNotNull()).alias("with_user"),
+        F.count("raw").alias("with_text"))
+
+
+def q_quarantine_csv(spark, sf_dir):
+    """Edge CSV with misfit lines (one minute in thirty has a field too many, one a bad time): the good
+    rows, and each bad line as it was."""
+    path = scratch_path(spark, "misfit-csv")
+    minute = F.minute("event_time") % 30
+    e = edges_df(spark, sf_dir)
+    quoted = [F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in e.columns]
+    time = F.when(minute == 9, F.lit('"noon"')).otherwise(F.concat(F.lit('"'), F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"), F.lit('"')))
+    line = F.concat_ws(",", *quoted[:3], time, *quoted[4:], F.when(minute == 8, F.lit('"more"')))
+    tables.write_lines_csv(e.select(line.alias("value")), ",".join(e.columns), path)
+    good, bad = quarantine.read_edges_csv_checked(spark, path)
+    return good.select("user_from", "user_to", "action", "event_time", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.lit(None).cast("string").alias("user_from"), F.lit(None).cast("string").alias("user_to"),
+                   F.regexp_extract("raw", '"(LIKE|SHARE|COMMENT|[A-Z_]+)"', 1).alias("action"),
+                   F.lit(None).cast("timestamp").alias("event_time"), "reason"))
+
+
+def q_silver_incremental(spark, sf_dir):
+    """Silver of the first half of the days, then of all but the last two, then those two, the last one twice."""
+    path = scratch_path(spark, "silver-days")
+    raw = materialize(bronze(spark, sf_dir).withColumn("day", F.substring("timestamp", 1, 10)), "bronze-days")
+    days = [r.day for r in raw.select("day").where("day is not null").distinct().orderBy("day").collect()]  # one row a day
+    half = days[:len(days) // 2]
+    increments.write_silver(raw.where(F.col("day").isin(half)).drop("day"), path)
+    for some in (days[len(half):-2], days[-2:], days[-1:]):
+        increments.refresh_silver(raw.where(F.col("day").isin(some)).drop("day"), path, some)
+    return increments.read_silver(spark, path)
+
+
+def _graph_store(spark, sf_dir):
+    def build():
+        store = increments.GraphStore(spark, scratch_path(spark, "graph-store"))
+        e = edges_df(spark, sf_dir)
+        at = F.unix_timestamp("event_time")
+        low, high = e.agg(F.min(at), F.max(at)).first()  # one row
+        load = F.least(F.lit(4), F.floor((at - F.lit(low or 0)) * 5 / F.lit(max(1, (high or 0) - (low or 0)))))
+        for n in range(5):
+            store.append(e.where(load == n), n)
+            if n == 2:
+                store.merge()
+        return store
+    return _memo(spark, sf_dir, "graph-store", build)
+
+
+def q_graph_incremental(spark, sf_dir):
+    """The weighted projection after five loads."""
+    g = _graph_store(spark, sf_dir).graph()
+    return g.user_names(g.user_names(g.projection, "src", "source"), "dst", "target").select("source", "target", "w")
+
+
 def q_silver_clean(spark, sf_dir):
     return silver.clean(bronze(spark, sf_dir)).select("user_from", "user_to", "action", "timestamp", "event_time",
                                            "event_date", "event_hour")
@@ -431,6 +629,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_parse": q_bronze_parse,
     "bronze_scan": q_bronze_scan,
     "stream_bronze": q_stream_bronze,
+    "stream_hourly_windows": q_stream_hourly_windows,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_sliding_windows": q_stream_sliding_windows,
+    "stream_session_windows": q_stream_session_windows,
+    "stream_daily_active": q_stream_daily_active,
+    "stream_silver": q_stream_silver,
+    "stream_counters": q_stream_counters,
+    "stream_compacted": q_stream_compacted,
+    "quarantine_messages": q_quarantine_messages,
+    "quarantine_csv": q_quarantine_csv,
+    "silver_incremental": q_silver_incremental,
+    "graph_incremental": q_graph_incremental,
     "silver_clean": q_silver_clean,
     "silver_roundtrip": q_silver_roundtrip,
     "gold_edges": q_gold_edges,

@@ -174,6 +174,45 @@ def oracle_sql() -> dict[str, str]:
     o["stream_bronze"] = q(BRONZE_COLS)
     o["silver_clean"] = q(SILVER_COLS)
     o["silver_roundtrip"] = q(SILVER_COLS)
+    o["stream_silver"] = q(SILVER_COLS)
+    o["silver_incremental"] = q(SILVER_COLS)
+    o["graph_incremental"] = q("SELECT src AS source, dst AS target, w FROM proj")
+    o["stream_compacted"] = q("SELECT user_from, user_to, action, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" FROM edges")
+    o["stream_counters"] = q("""SELECT count(*) AS rows_in, count(*) FILTER (WHERE minute(event_time) % 30 = 13) AS rejected,
+  count(*) FILTER (WHERE minute(event_time) % 30 <> 13) AS written, count(*) AS bronze_rows FROM edges""")
+    live = """
+bounds AS (SELECT min(epoch(event_time))::BIGINT AS low, max(epoch(event_time))::BIGINT AS high FROM edges),
+sent AS (SELECT e.*, CASE WHEN {held} THEN 2 ELSE least(2, (epoch(event_time)::BIGINT - low) * 3 // greatest(1, high - low)) END AS chunk
+  FROM edges e, bounds),
+mark AS (SELECT max(event_time) - INTERVAL 1 DAY AS final, max(event_time) FILTER (WHERE chunk < 2) - INTERVAL 1 DAY AS before_last FROM sent)"""
+    plain, held = live.format(held="false"), live.format(held="minute(event_time) % 10 = 7")
+    hours = """
+hours AS (SELECT date_trunc('hour', event_time) AS window_start, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end, action
+  FROM sent, mark WHERE chunk < 2 OR date_trunc('hour', event_time) + INTERVAL 1 HOUR > before_last)"""
+    o["stream_hourly_windows"] = q("""SELECT window_start, window_end, action, count(*) AS events, bool_and(window_end <= final) AS closed
+FROM hours, mark GROUP BY 1, 2, 3""", held, hours)
+    o["stream_late_rows"] = q("""SELECT (SELECT count(*) FROM edges) AS delivered, count(*) AS in_windows,
+  (SELECT count(*) FROM edges) - count(*) AS late FROM hours""", held, hours)
+    o["stream_sliding_windows"] = q("""SELECT s - to_hours(6 * i) AS window_start, s - to_hours(6 * i) + INTERVAL 1 DAY AS window_end,
+  action, count(*) AS events
+FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, event_time) AS s FROM edges), range(4) r(i), mark
+WHERE s - to_hours(6 * i) + INTERVAL 1 DAY <= final GROUP BY 1, 2, 3""", plain)
+    o["stream_session_windows"] = q("""SELECT min(event_time) AS window_start, max(event_time) + INTERVAL 6 HOUR AS window_end, user_from,
+  count(*) AS events FROM (
+    SELECT *, sum(CASE WHEN event_time < before + INTERVAL 6 HOUR THEN 0 ELSE 1 END) OVER (
+      PARTITION BY user_from ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS session
+    FROM (SELECT *, lag(event_time) OVER (PARTITION BY user_from ORDER BY event_time) AS before FROM edges)), mark
+GROUP BY user_from, session, final HAVING max(event_time) + INTERVAL 6 HOUR <= final""", plain)
+    o["stream_daily_active"] = q("""SELECT date_trunc('day', event_time) AS window_start, date_trunc('day', event_time) + INTERVAL 1 DAY AS window_end,
+  count(action) AS interactions, count(DISTINCT user_from) AS active_users
+FROM edges, mark WHERE date_trunc('day', event_time) + INTERVAL 1 DAY <= final GROUP BY 1, 2""", plain)
+    o["quarantine_messages"] = q("""SELECT CASE minute(CAST("timestamp" AS TIMESTAMP)) % 30 WHEN 3 THEN 'not a JSON object' WHEN 4 THEN 'not a JSON object'
+    WHEN 5 THEN 'null message' WHEN 6 THEN 'no known field' ELSE 'good' END AS outcome, count(*) AS rows,
+  count(*) FILTER (WHERE user_from IS NOT NULL AND minute(CAST("timestamp" AS TIMESTAMP)) % 30 NOT IN (3, 4, 5, 6)) AS with_user,
+  count(*) FILTER (WHERE minute(CAST("timestamp" AS TIMESTAMP)) % 30 <> 5) AS with_text FROM bronze GROUP BY 1""")
+    o["quarantine_csv"] = q("""SELECT CASE WHEN good THEN user_from END AS user_from, CASE WHEN good THEN user_to END AS user_to, action,
+  CASE WHEN good THEN event_time END AS event_time, CASE WHEN NOT good THEN 'does not fit the schema' END AS reason
+FROM (SELECT *, minute(event_time) % 30 NOT IN (8, 9) AS good FROM edges)""")
     o["gold_edges"] = q(EDGE_COLS)
     o["gold_edges_csv"] = q(EDGE_COLS)
     o["resolve_time_col"] = q('SELECT user_from, user_to, action, "timestamp" FROM timeline')

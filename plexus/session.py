@@ -173,6 +173,31 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def folders(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The numbers N of the complete folders ``key=N`` under ``path``, ascending: those a write
+    job has finished (``_SUCCESS``) or, below a partitioned table, those with files."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [f.getPath() for f in fs.listStatus(p) if f.isDirectory() and f.getPath().getName().startswith(f"{key}=")]
+    whole = _exists(spark, f"{path}/_SUCCESS")
+    return sorted(int(f.getName().split("=", 1)[1]) for f in found if whole or _exists(spark, f"{f.toString()}/_SUCCESS"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def last_commit(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch that a stream's checkpoint has committed, -1 if there is none."""
+    path = f"{checkpoint.rstrip('/')}/commits"
+    if not _exists(spark, path):
+        return -1
+    fs, p = _file_system(spark, path)
+    return max((int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit()), default=-1)
+
+
 def switch_path(spark: SparkSession, new: str, path: str) -> None:
     """Put the finished folder ``new`` in the place of ``path``; what stood there goes
     only after the switch, and comes back if the switch fails."""

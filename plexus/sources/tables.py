@@ -35,6 +35,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     switch_path(df.sparkSession, new, path)
 
 
+def refresh_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
+    """Replace only the partitions that ``df`` has rows of; the files of all others stay as they
+    are. Repeating the call gives the same table. A partition that lost all its rows must
+    be named by its new rows, so an empty ``df`` changes nothing."""
+    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+
+
 # Text tables keep every string as it is: all values quoted, quotes doubled by a
 # backslash-free escape, blanks and line ends kept, null and empty told apart.
 CSV = {"header": "true", "quoteAll": "true", "escape": '"', "nullValue": "\\N", "emptyValue": "",
@@ -42,7 +49,7 @@ CSV = {"header": "true", "quoteAll": "true", "escape": '"', "nullValue": "\\N",
        "timestampFormat": ISO_TIME_FORMAT}
 
 
-def _csv_files(spark: SparkSession, path: str) -> None:
+def require_csv(spark: SparkSession, path: str) -> None:
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     if not found.select("path").head(1):
         raise FileNotFoundError(f"no CSV file in {path}")
@@ -53,10 +60,17 @@ def write_edges_csv(edges: DataFrame, path: str) -> None:
     edges.write.mode("overwrite").options(**CSV).csv(path)
 
 
+def write_lines_csv(lines: DataFrame, header: str, path: str) -> None:
+    """CSV files from finished lines (one column), each file under its header."""
+    lines.toDF(header).write.mode("overwrite").options(
+        header="true", quote="\u0000", sep="\u0001", escapeQuotes="false", ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false").csv(path)
+
+
 def read_edges_csv(spark: SparkSession, path: str) -> DataFrame:
     """Gold CSV source, declared schema (no inference pass over the data); a row that
     does not fit the schema is an error, and so is a folder without a CSV file."""
-    _csv_files(spark, path)
+    require_csv(spark, path)
     return spark.read.schema(EDGE).options(**CSV, multiLine="true", mode="FAILFAST").csv(path)
 
 
@@ -79,7 +93,7 @@ def fill_metric_defaults(metrics: DataFrame) -> DataFrame:
 def read_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
     """Metrics CSV with header; the header decides which columns exist, so the
     string columns are read first and typed by ``fill_metric_defaults``."""
-    _csv_files(spark, path)
+    require_csv(spark, path)
     raw = spark.read.options(**CSV, multiLine="true", inferSchema="false").csv(path)
     return fill_metric_defaults(raw)
 

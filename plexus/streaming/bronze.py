@@ -35,12 +35,16 @@ def bronze_stream(messages: DataFrame) -> DataFrame:
 def start_bronze(spark: SparkSession, source_format: str, sink_path: str, checkpoint_path: str,
                  source_path: str | None = None, source_options: dict[str, str] | None = None,
                  sink_format: str = "parquet", available_now: bool = False,
-                 processing_time: str | None = None, batch_writer=None) -> StreamingQuery:
+                 processing_time: str | None = None, batch_writer=None, transform=None,
+                 name: str | None = None) -> StreamingQuery:
     """Start the append-only Bronze query. Default trigger = as fast as data arrives;
     ``processing_time`` (e.g. "1 minute") batches more rows per file. ``batch_writer``
-    (see ``idempotent_batch_writer``) takes the place of the file sink."""
+    (see ``idempotent_batch_writer``) takes the place of the file sink; ``transform`` is applied
+    to the rows (see ``counters.observed``); ``name`` is the query's."""
     rows = bronze_stream(message_stream(spark, source_format, source_path, source_options))
+    rows = transform(rows) if transform else rows
     w = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
+    w = w.queryName(name) if name else w
     w = w.foreachBatch(batch_writer) if batch_writer else w.format(sink_format)
     if available_now:
         w = w.trigger(availableNow=True)
