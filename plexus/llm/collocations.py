@@ -7,8 +7,8 @@ The graph of the ``order``-grams (5): a node is a run of 4 words, an edge joins
 nodes that overlap in 3, its weight is the count of the 5 words. Shorter counts
 are not counted again: the count of a run is its flow, the summed counts of its
 one-word extensions to the right, plus the number of pieces that end with it. The
-words are named by 64-bit hashes; the dictionary, which has all of them, proves
-that no two share one (else another seed is taken).
+words are named by 64-bit hashes; the dictionary, which has all words, proves that
+no frequent word shares its name (else another seed is taken).
 
 A phrase counts only if it occurs ``least`` times, and then so do all its parts. Pieces
 are therefore cut, exactly, at words and between pairs of words that occur less often.
@@ -49,6 +49,7 @@ LEAST = 100
 ORDER = 5
 SEGMENT = 1000
 BITS = 1 << 26  # of a map of frequent words or pairs
+PAIR_BITS = 40
 HELD = 1 << 18  # distinct words that a task counts or names before it starts anew
 HELD_BYTES = 32 << 20
 CHUNK = 1 << 18  # words whose runs are formed at a time
@@ -149,11 +150,12 @@ def bit_map(keys: DataFrame, key: str) -> np.ndarray:
 
 
 def _pair_keys(ids: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each word with the next (equal pairs have equal keys; others may)."""
+    """A key of PAIR_BITS bits of each word with the next (equal pairs have equal keys; others may,
+    which makes their counts too large, never too small)."""
     a, b = ids[:-1].view(np.uint64), ids[1:].view(np.uint64)
     x = a * np.uint64(0x9E3779B97F4A7C15) + b
     x ^= x >> np.uint64(29)
-    return (x * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+    return ((x * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - PAIR_BITS)).view(np.int64)
 
 
 def _sequences(batches, names_of):
@@ -284,8 +286,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, order: int = ORDER) -> tu
     seed = 0
     while True:
         words, seen = materialize(word_counts(docs).withColumn("id", name_column(seed)), "words", (
-            observation("words"), F.count(F.lit(1)).alias("words")))
-        if words.select("id").distinct().count() == seen["words"]:
+            observation("words"), F.count_if(F.col("n") >= least).alias("frequent")))
+        # a frequent word must have its name alone; a name that only rare words share is in no result
+        named = small_side(words.where(F.col("n") >= least).select("id"), "frequent-names")
+        if words.join(named, "id").count() == seen["frequent"]:
             break
         seed += 1
     frequent = spark.sparkContext.broadcast(bit_map(words.where(F.col("n") >= least), "id"))
@@ -341,8 +345,8 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = 100, top: int
     names = words.where(F.col("n") >= least).select("id", "lang", F.col("word").cast("string").alias("word"))
     # one language a phrase: the name of a word has it
     spelt = left.select("g", F.posexplode("g").alias("at", "id")).join(names, "id").groupBy("g").agg(
-        F.first("lang").alias("lang"), F.concat_ws(" ", F.transform(
-            F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"])).alias("phrase"))
+        F.count(F.lit(1)).alias("known"), F.first("lang").alias("lang"), F.concat_ws(" ", F.transform(
+            F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"])).alias("phrase")).where(F.col("known") == F.size("g")).drop("known")
     scored = cuts.join(spelt, "g").join(totals, "lang").withColumn("score", F.expr(
         "(cast(1000 * a as decimal(19,0)) * cast(n as decimal(19,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))"))
     lowest = scored.groupBy("g").agg(F.min_by(
