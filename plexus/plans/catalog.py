@@ -542,12 +542,16 @@ def louvain_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_louvain(spark, sf_dir):
     """Facts about the labelling: users labelled, labels that are not the smallest member
-    of their community, users that are no vertex."""
+    of their community, vertices without a label, labels of what is no vertex."""
     labels, _ = _louvain(spark, sf_dir)
     low = labels.groupBy("community").agg(F.min("vid").alias("low"), F.count(F.lit(1)).alias("size"))
-    return low.agg(F.sum("size").alias("users_labelled"),
-                   F.count_if(F.col("low") != F.col("community")).alias("label_violations"),
-                   F.count_if(F.col("size") < 1).alias("empty_communities"))
+    facts = low.agg(F.sum("size").alias("users_labelled"),
+                    F.count_if(F.col("low") != F.col("community")).alias("label_violations"))
+    known = graph_of(spark, sf_dir).vertices.select(F.col("vid"), F.lit(1).alias("vertex"))
+    both = known.join(labels.select("vid", F.lit(1).alias("label")), "vid", "full")
+    left_over = both.agg(F.count_if(F.col("label").isNull()).alias("vertices_without_label"),
+                         F.count_if(F.col("vertex").isNull()).alias("labels_without_vertex"))
+    return facts.crossJoin(left_over)  # one row each
 
 
 def q_louvain_summary(spark, sf_dir):
@@ -586,8 +590,8 @@ def q_louvain_community_stats(spark, sf_dir):
     labels, _ = _louvain(spark, sf_dir)
     m = rankings.user_metrics(g, pr, None, labels.select("vid", F.col("community").alias("community_louvain")))
     stats = rankings.community_stats(m.withColumn("betweenness", F.lit(0.0)))
-    return stats.agg(F.sum("size").alias("users"), F.round(F.sum("sum_pagerank"), 3).alias("sum_pagerank"),
-                     (F.min("size") >= 1).alias("none_empty"))
+    missing = m.agg(F.count_if(F.col("community_louvain").isNull()).alias("users_without_community"))
+    return stats.agg(F.sum("size").alias("users"), F.round(F.sum("sum_pagerank"), 3).alias("sum_pagerank")).crossJoin(missing)  # one row each
 
 
 def q_user_metrics_export(spark, sf_dir):

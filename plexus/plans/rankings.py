@@ -94,9 +94,16 @@ def user_rank(metrics: DataFrame, metric: str = "pagerank") -> DataFrame:
 def user_profile(metrics: DataFrame, user: str, metric: str = "pagerank") -> DataFrame:
     """One user's metrics and the rank that ``user_rank`` gives them."""
     cols = [c for c in ("pagerank", "betweenness", "community_louvain") if c in metrics.columns]
-    ranks = user_rank(metrics, metric).where(F.col("user") == user).select("user", "rank")
-    return (present(metrics).where(F.col("user") == user).join(ranks, "user")
-            .select("user", *[F.round(c, ROUND).alias(c) if c != "community_louvain" else F.col(c) for c in cols], "rank"))
+    m = present(metrics)
+    own = m.where(F.col("user") == user)
+    # one row (the user) beside every row: a count of the users above and of the ties, no sort
+    beside = m.select(F.col(metric).alias("_v")).crossJoin(F.broadcast(own.select(F.col(metric).alias("_own"))))
+    missing = F.col("_own").isNull()
+    above = F.when(missing, F.col("_v").isNotNull()).otherwise(F.coalesce(F.col("_v") > F.col("_own"), F.lit(False)))
+    counts = beside.agg(F.count_if(above).alias("_above"), F.count_if(F.col("_v").eqNullSafe(F.col("_own"))).alias("_ties"))
+    rank = F.floor(F.col("_above") + (F.col("_ties") + 1) / 2.0).cast("long")
+    return own.crossJoin(F.broadcast(counts)).select(
+        "user", *[F.round(c, ROUND).alias(c) if c != "community_louvain" else F.col(c) for c in cols], rank.alias("rank"))
 
 
 def metric_stats(metrics: DataFrame, names: tuple[str, ...] = ("pagerank", "betweenness")) -> DataFrame:
