@@ -15,8 +15,9 @@ from plexus.session import materialize, prepare, written_bytes
 # A word is a maximal run of characters other than ASCII white space.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
-# Bytes of Parquet files up to which a written table may be broadcast.
+# Bytes of a broadcast table in memory, and how much rows grow there next to their Parquet files.
 BROADCAST_BYTES = 8 << 20
+GROWTH = 4
 
 
 _SHIPPED: set[str] = set()
@@ -79,11 +80,11 @@ def ascii_lower(text: Column) -> Column:
 
 def small_side(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and mark it for broadcast only while its files
-    are within BROADCAST_BYTES; beyond that the join shuffles both sides."""
+    stay within BROADCAST_BYTES in memory; beyond that the join shuffles both sides."""
     out = materialize(df, name)
     files = out.inputFiles()
     size = written_bytes(df.sparkSession, files[0].rsplit("/", 1)[0]) if files else 0
-    return F.broadcast(out) if size <= BROADCAST_BYTES else out
+    return F.broadcast(out) if size * GROWTH <= BROADCAST_BYTES else out
 
 
 def crc_mod(col_: Column, n: int) -> Column:
