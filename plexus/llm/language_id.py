@@ -7,8 +7,9 @@ behind a sentence of another document, so switches within a line are seen.
 Forward-backward labels every word; a document's language is the one with the
 highest mean marginal over its words.
 
-The fit uses a bounded sample: about SAMPLE documents of each language, none longer
-than SAMPLE_CHARS, MAX_SAMPLE in all. Lexicon: words seen LEXICON_COUNT times in the
+The fit uses a bounded sample: SAMPLE documents of each language (the smallest hashes, short
+texts first; of longer ones the first SAMPLE_CHARS characters teach), fewer if there are more than
+MAX_SAMPLE / SAMPLE languages, but one of each at least. Lexicon: words seen LEXICON_COUNT times in the
 sample, nine of ten times in one language. Scoring is one narrow pass over whole
 texts; the model has a fixed size and is broadcast.
 
@@ -21,14 +22,17 @@ an empty result; other columns are never read.
 from __future__ import annotations
 
 import re
+import sys
 from collections import defaultdict
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plexus.functions.ranking import top_k_per_group
 from plexus.llm import crf
 from plexus.llm.common import crc_mod, small_side
 
@@ -37,7 +41,9 @@ MAX_SAMPLE = 20_000
 SAMPLE_CHARS = 20_000
 JOINED = 30
 LEXICON_COUNT = 20
-PATTERN = re.compile(r"[^\W\d_]+|[.!?\n]")
+# a word is a run of letters; what Unicode calls a number without being a letter is none
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
+PATTERN = re.compile(rf"[^\W\d_{_NUMBERS}]+|[.!?\n]")
 TASK_CHARS = 1 << 21
 
 
@@ -89,35 +95,39 @@ def fit(texts: list[str], langs: list[str], rounds: int = 30) -> Model:
 
 def train(docs: DataFrame, learn) -> Model:
     """Fit on documents whose language is known; ``learn``: a condition on doc_id."""
-    known = docs.where(docs["lang"].isNotNull() & learn(docs["doc_id"]) & docs["text"].isNotNull()
-                       & (F.length(docs["text"]) <= SAMPLE_CHARS)).select("doc_id", "lang", "text")
-    share = known.groupBy("lang").count().select("lang", (F.lit(float(SAMPLE)) / F.col("count")).alias("share"))
-    # a row's place in [0, 1) by the hash of its doc_id
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = (known.join(small_side(share, "language-shares"), "lang").where(place < F.col("share"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(MAX_SAMPLE).select("lang", "text").collect())
+    known = docs.where(docs["lang"].isNotNull() & learn(docs["doc_id"]) & docs["text"].isNotNull()).select(
+        docs["lang"].cast("string").alias("lang"), docs["doc_id"], docs["text"], F.xxhash64(docs["text"]).alias("h"))
+    languages = known.select("lang").distinct().count()
+    each = max(1, min(SAMPLE, MAX_SAMPLE // max(1, languages)))
+    order = [F.length("text") > SAMPLE_CHARS, F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
+    keys = known.select("lang", "doc_id", "h", *[c.alias(f"o{i}") for i, c in enumerate(order)])
+    picked = top_k_per_group(keys, "lang", [F.col(f"o{i}") for i in range(len(order))], each).select("lang", "doc_id", "h").distinct()
+    rows = (known.join(small_side(picked, "language-sample"), ["lang", "doc_id", "h"], "left_semi").dropDuplicates(["lang", "doc_id", "h"])
+            .orderBy("lang", F.xxhash64("doc_id"), "doc_id", "h")
+            .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect())
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-_TAGGERS: dict[int, crf.Tagger] = {}
+_TAGGERS: dict[str, crf.Tagger] = {}  # of this Python worker, by the name of a scoring job
 
 
 def label(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     """doc_id, lang_pred, score, spans (runs of words of one language: start, end, lang) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid4().hex
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches):
         m: Model = shared.value
-        if m.chain and id(m) not in _TAGGERS:
+        if m.chain and key not in _TAGGERS:
             _TAGGERS.clear()
-            _TAGGERS[id(m)] = crf.Tagger(m.chain, PATTERN, m.features)
+            _TAGGERS[key] = crf.Tagger(m.chain, PATTERN, m.features)
 
         def tag(ids, texts):
             langs, scores = ["und"] * len(texts), np.zeros(len(texts))
             found: list[list] = [[] for _ in texts]
             if m.chain:
-                seq, marg = _TAGGERS[id(m)].tag(texts)
+                seq, marg = _TAGGERS[key].tag(texts)
                 bounds = np.searchsorted(seq.text, np.arange(len(texts) + 1))
                 total = np.zeros((len(texts), len(m.languages)))
                 for k in range(len(m.languages)):

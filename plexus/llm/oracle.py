@@ -85,7 +85,7 @@ dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FR
 cover AS (SELECT r, CAST(sum(least(8, i - prev)) AS BIGINT) AS n
           FROM (SELECT r, i, coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), i - 8) AS prev FROM dup) GROUP BY r),
 counts AS (
-  SELECT doc_id, stratum, len(ws) AS n_words, length(regexp_replace(t, '{space}', '', 'g')) AS word_chars,
+  SELECT doc_id, stratum, t, len(ws) AS n_words, length(regexp_replace(t, '{space}', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
     length(t) - length(replace(t, '!', '')) AS n_shouts, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_caps
@@ -99,9 +99,9 @@ x AS (
     n_caps / CAST(greatest(word_chars, 1) AS DOUBLE) AS caps_rate
   FROM counts),
 held AS (
-  SELECT x.*, l.label = 1 AS good FROM x JOIN (
+  SELECT stratum, t, bool_and(l.label = 1) AS good, {", ".join(f"any_value({r}) AS {r}" for r in quality.RULES)} FROM x JOIN (
     SELECT doc_id, min(quality) AS label FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id) l
-  USING (doc_id) WHERE NOT failed),
+  USING (doc_id) WHERE NOT failed GROUP BY stratum, t),
 tests AS ({tests}),
 certified AS (
   SELECT * FROM tests WHERE caught > {quality.GOOD_WEIGHT} * k AND n > 0 AND k < n * {p} AND list_sum(list_transform(range(0, k + 1), lambda i:

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from plexus.llm.tokens import chunks, encoder, id_runs
 
@@ -164,6 +165,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, width: int = WIDTH) -> Da
         for out in packer.close():
             yield table(out)
 
-    ordered = (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
+    # equal or missing ids are told apart by their texts, so that no id fills one task
+    ordered = (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"),
+                           F.xxhash64(docs["text"]).alias("h"))
+               .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text"))
     return ordered.mapInArrow(run, SCHEMA)

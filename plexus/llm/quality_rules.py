@@ -160,7 +160,10 @@ def calibrate(rated: DataFrame, labels: DataFrame, label_col: str = "quality", g
            .groupBy("doc_id").agg(F.min(label_col).alias("label")))
     # documents that the base check rejects never reach the rules
     held = rated.where(~F.col("failed")).join(lab, "doc_id")
-    is_good = F.col("label") == good
+    # copies of a text are one trial, as the bound is on independent ones; labels that differ make it a bad one
+    held = held.groupBy("stratum", "text_hash").agg(
+        F.min(F.when(F.col("label") == good, 1).otherwise(0)).alias("good"), *[F.first(r).alias(r) for r in RULES])
+    is_good = F.col("good") == 1
     sums = [F.sum(F.when(is_good, 1).otherwise(0)).alias("n_good")]
     for r in RULES:
         for i, c in enumerate(CUTOFFS):
@@ -185,12 +188,12 @@ def calibrate(rated: DataFrame, labels: DataFrame, label_col: str = "quality", g
 
 
 def rate_documents(docs: DataFrame, stratum_col: str = "lang") -> DataFrame:
-    """doc_id, stratum, counts, base verdict and rates of every document; one narrow pass."""
+    """doc_id, stratum, text_hash, counts, base verdict and rates of every document; one narrow pass."""
     m = F.col("m")
     out = docs.select(docs["doc_id"], F.coalesce(col(docs, stratum_col).cast("string"), F.lit("und")).alias("stratum"),
-                      measures(docs["text"]).alias("m"))
+                      F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash"), measures(docs["text"]).alias("m"))
     return out.select(
-        "doc_id", "stratum", m["w"]["n_words"].alias("n_words"), m["word_chars"].alias("word_chars"),
+        "doc_id", "stratum", "text_hash", m["w"]["n_words"].alias("n_words"), m["word_chars"].alias("word_chars"),
         m["n_symbols"].alias("n_symbols"), m["l"]["n_dup_lines"].alias("n_dup_lines"),
         m["w"]["n_repeat_words"].alias("n_repeat_words"), base_failed(m).alias("failed"),
         *[c.alias(r) for r, c in rates(m).items()])

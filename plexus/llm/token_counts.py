@@ -15,7 +15,7 @@ before a text that does not begin with it, and every mark begins a word.
 Edge cases: null and empty texts have 0 tokens; texts of any length are read whole;
 repeated rows are counted one by one; an empty table gives an empty result; other
 columns are never read. Words are counted once per Python worker and cached, the
-cache bounded by CACHE_WORDS.
+cache bounded by CACHE_WORDS and CACHE_CHARS.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from plexus.llm.tokens import chunks
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 800_000
+CACHE_CHARS = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -55,6 +56,7 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min(s for _, s in vocabulary.pieces) - UNKNOWN_PENALTY
         self.cache: dict[str, int] = {}
+        self.cached = 0  # characters
 
     def count_word(self, word: str) -> int:
         n = len(word)
@@ -96,13 +98,15 @@ class Counter:
         words = text.replace(" ", MARK).split(MARK)
         if not words[0]:
             words = words[1:]
-        if len(self.cache) > CACHE_WORDS:
+        if len(self.cache) > CACHE_WORDS or self.cached > CACHE_CHARS:
             self.cache.clear()
+            self.cached = 0
         total, cache = 0, self.cache
         for w in words:
             c = cache.get(w)
             if c is None:
                 c = cache[w] = self.count_word(MARK + w)
+                self.cached += len(w)
             total += c
         return total
 

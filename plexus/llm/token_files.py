@@ -62,8 +62,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
         if doc_ids:
             yield record()
 
-    ordered = (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
+    # equal or missing ids are told apart by their texts, so that no id fills one task
+    ordered = (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"),
+                           F.xxhash64(docs["text"]).alias("h"))
+               .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text"))
     ordered.mapInArrow(run, RECORD).write.mode("overwrite").parquet(path)
 
 

@@ -4,7 +4,7 @@ The tokenizer of ``word_bpe_49k.json`` drops white space and never merges across
 it, so the ids of a text are the ids of its words one after the other. Every
 distinct word goes to the ``tokenizers`` library once per cache generation; texts
 are put together from the cache with numpy. The cache belongs to a Python worker
-and is bounded: above ``CACHE_WORDS`` words it starts anew.
+and is bounded: above ``CACHE_WORDS`` words or ``CACHE_CHARS`` characters it starts anew.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 CACHE_WORDS = 600_000
+CACHE_CHARS = 16 << 20
 JOINED = 2_000  # words encoded in one call
 
 # A plain word: Latin-1 letters and punctuation after them. Lower-casing and
@@ -32,10 +33,12 @@ class _Index(dict):
 
     def __init__(self):
         self.new: list[str] = []
+        self.chars = 0
 
     def __missing__(self, key: str) -> int:
         n = self[key] = len(self)
         self.new.append(key)
+        self.chars += len(key)
         return n
 
 
@@ -52,6 +55,8 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task, and one thread's memory
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are kept in 16 bits: the vocabulary has more than 65,536 pieces")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for piece, i in self.tokenizer.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
@@ -107,7 +112,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts in a row, ids per text, words per text, and per word its id
         count and whether a sentence ends with it."""
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > CACHE_WORDS or self.words.chars > CACHE_CHARS:
             self.reset()
         per_text, found = np.zeros(len(texts), np.int64), []
         get = self.words.__getitem__

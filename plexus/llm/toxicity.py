@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
@@ -210,17 +211,17 @@ def train(docs: DataFrame, labels: DataFrame, learn=None) -> Model:
     return fit([r["text"] for r in picked], toxic, rate)
 
 
-_TAGGERS: dict[int, crf.Tagger] = {}
+_TAGGERS: dict[str, crf.Tagger] = {}  # of this Python worker, by the name of a scoring job
 
 
 def score(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
     """doc_id, score (0 to 1), spans (start, end in characters, highest marginal) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid4().hex
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches):
         m: Model = shared.value
-        key = id(m)
         if m.chain and key not in _TAGGERS:
             _TAGGERS.clear()
             _TAGGERS[key] = crf.Tagger(m.chain, PATTERN, FEATURES)

@@ -232,8 +232,10 @@ def test_toxicity_held_out(spark):
     got = queries.toxic(spark, "/root/testdata/sf0.01").collect()
     lab = {r.doc_id: r.toxic for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
-    held = [(lab[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in lab]
-    assert np.mean([a == b for a, b in held]) > 0.85
+    held = np.array([(lab[r.doc_id], r.predicted) for r in got if r.held_out and lab.get(r.doc_id) is not None])
+    toxic, called = held[:, 0] == 1, held[:, 1] == 1
+    assert toxic.sum() >= 10 and called.sum() >= 10  # a constant answer has no recall or no precision
+    assert (toxic & called).sum() / toxic.sum() >= 0.7 and (toxic & called).sum() / called.sum() >= 0.75
 
 
 def test_language_held_out(spark, odd, none):
@@ -248,6 +250,9 @@ def test_language_held_out(spark, odd, none):
     assert len(out) == len(ODD) and {(i, p, s) for i, p, s in out if i in (1, 2, 3)} == {(i, "und", 0.0) for i in (1, 2, 3)}
     assert all(0 <= s <= 1 for _, _, s in out)
     assert language_id.label(none, model).count() == 0
+    signs = spark.createDataFrame([(1, "½ ²①"), (2, "Ⅷ ³ ٣ 12_"), (3, "½a"), (4, "一二")], "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language_id.label(signs, model).collect()}
+    assert found[1] == found[2] == ("und", 0.0) and found[3][0] != "und" and found[4][0] != "und"
     assert {r.lang_pred for r in language_id.label(odd, language_id.train(none, lambda i: ~language_id.held_out(i))).collect()} == {"und"}
     en, fr = (next(r.text for r in d.collect() if r.lang == x and len(r.text) > 400)[:300] for x in ("en", "fr"))
     mixed = spark.createDataFrame([(1, en + " " + fr)], "doc_id long, text string")
@@ -673,3 +678,78 @@ def test_query_matches_its_sql(spark, name, sf):
     assert sorted(df.columns) == sorted(res.columns)
     want = sorted(str(tuple(r)) for r in res.select(*df.columns).fetchall())
     assert sorted(str(tuple(r)) for r in df.collect()) == want
+
+
+# ---------------------------------------------------------------- hot keys
+
+def test_language_sample_has_every_language(spark, monkeypatch):
+    """A language with long texts only, and more languages than the sample has room for, are learned."""
+    monkeypatch.setattr(language_id, "SAMPLE", 3)
+    monkeypatch.setattr(language_id, "MAX_SAMPLE", 6)
+    monkeypatch.setattr(language_id, "SAMPLE_CHARS", 200)
+    seen = {}
+    monkeypatch.setattr(language_id, "fit", lambda texts, langs, **k: seen.update(texts=texts, langs=langs))
+    rows = [(i, "kurz und gut", "de") for i in range(50)] + [(100 + i, "une tres longue histoire " * 40, "fr") for i in range(50)]
+    rows += [(200 + i, f"word {i}", f"l{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language_id.train(df, lambda i: F.lit(True))
+    assert set(seen["langs"]) == {"de", "fr", *(f"l{i}" for i in range(9))}
+    assert len(seen["langs"]) <= 11 and max(map(len, seen["texts"])) <= 200
+
+
+def test_one_doc_id_in_all_rows(spark, request):
+    """Equal ids are cut into several tasks by their texts; nothing is lost, and a retry keeps the order."""
+    texts = [f"text number {i} of many " * 40 for i in range(400)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for same in (7, None):
+        df = spark.createDataFrame([(same, t) for t in texts], "doc_id long, text string").repartition(6)
+        path = scratch_path(spark, "equal-ids")
+        token_files.write_tokens(df, path, TOKENIZER, 1)
+        assert spark.read.parquet(path).select("part").distinct().count() > 1
+        got = [token_files.read_tokens(spark, path).select("start", "n_tokens", F.crc32("ids").alias("c")).collect() for _ in range(2)]
+        assert sorted(got[0]) == sorted(got[1]) and len(got[0]) == 400
+        pieces = packing.pack(df, TOKENIZER, 2)
+        assert pieces.select(F.spark_partition_id()).distinct().count() > 1
+        assert pieces.agg(F.sum("length")).first()[0] == sum(r.n_tokens for r in got[0])
+
+
+def test_vocabularies_over_16_bits_are_refused(monkeypatch):
+    class Large:
+        @staticmethod
+        def from_file(path):
+            class T:
+                def get_vocab_size(self):
+                    return 70_000
+            return T()
+    import tokenizers
+    monkeypatch.setattr(tokenizers, "Tokenizer", Large)
+    with pytest.raises(ValueError, match="16 bits"):
+        tokens.WordEncoder("x")
+
+
+def test_copies_are_one_trial(spark):
+    """A text that stands a thousand times in the holdout counts once."""
+    good = " ".join(f"w{i}" for i in range(60))
+    texts = [good + f" {i}" for i in range(40)] + [good.upper() + "!" * 9] * 1000
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(len(texts))], "doc_id long, quality int")
+    cuts = quality_rules.calibrate(quality_rules.rate_documents(docs), labels).collect()
+    once = quality_rules.calibrate(quality_rules.rate_documents(docs.where("doc_id <= 40")), labels).collect()
+    assert sorted(map(str, cuts)) == sorted(map(str, once))
+
+
+def test_components_of_a_hub(spark):
+    """A root with a third of all links, and chains: broadcasts off and small partitions, so the split path runs."""
+    edges = [(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(700)] + [(5000 + 2 * i, 5001 + 2 * i) for i in range(100)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+        got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {i: 0 for i in range(400)} | {1000 + i: 1000 for i in range(701)} | {5000 + i: 5000 + i // 2 * 2 for i in range(200)}
+    assert got == want
