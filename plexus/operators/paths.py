@@ -31,15 +31,21 @@ def adjacency(graph: Graph, direction: str = "out") -> DataFrame:
     raise ValueError(f"direction must be out, in or both, not {direction!r}")
 
 
-def _batches(adj: DataFrame, graph: Graph, per_batch: int | None):
-    """Tables (s) of all nodes with an out-edge, in contiguous ranges of about ``per_batch``
-    ids; by default as many as keep the state within STATE_ROWS. A node without
-    out-edges reaches nothing and is no source. Nothing is sampled."""
-    n = max(graph.n_vertices, 1)
-    per_batch = per_batch or max(1, STATE_ROWS // n)
-    sources = adj.select(F.col("src").alias("s")).distinct()
-    for first in range(0, n, per_batch):
-        yield sources if per_batch >= n else sources.where(F.col("s").between(first, first + per_batch - 1))
+def _batches(n_vertices: int, per_batch: int):
+    """Contiguous ranges of ids that cover all vertices. Nothing is sampled."""
+    for first in range(0, max(n_vertices, 1), per_batch):
+        yield first, first + per_batch - 1
+
+
+def _added(total: DataFrame | None, part: DataFrame, key: str, *sums: str) -> DataFrame:
+    """The running sums with one batch's added, written; so a plan is as wide after the
+    last of any number of batches as after the second."""
+    if total is None:
+        return part
+    out = checkpoint(total.unionByName(part).groupBy(key).agg(*[F.sum(c).alias(c) for c in sums]))
+    drop_table(total)
+    drop_table(part)
+    return out
 
 
 def bfs(adj: DataFrame, sources: DataFrame) -> tuple[DataFrame, int]:
@@ -94,30 +100,25 @@ def _dependencies(adj: DataFrame, state: DataFrame, depth: int) -> DataFrame:
     return out
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def betweenness_run(graph: Graph, sources_per_batch: int | None = None, direction: str = "out"):
     """Brandes betweenness, directed, unnormalised, endpoints excluded, parallel
     edges counted in the path counts. Exact: every source is processed, in batches
-    that bound the (source, node) state; a batch leaves one sum per node.
-    Returns (DataFrame(vid, betweenness), summary)."""
+    that bound the (source, node) state; a batch leaves one sum per node, which is
+    added to a running total. Returns (DataFrame(vid, betweenness), summary)."""
     adj = adjacency(graph, direction)
-    parts, max_depth = [], 0
-    for batch in _batches(adj, graph, sources_per_batch):
-        state, depth = bfs(adj, batch)
-        parts.append(_dependencies(adj, state, depth))
+    per_batch = sources_per_batch or max(1, STATE_ROWS // max(graph.n_vertices, 1))
+    # a node without out-edges reaches nothing and is no source
+    sources = checkpoint(adj.select(F.col("src").alias("s")).distinct())
+    total, max_depth = None, 0
+    for first, last in _batches(graph.n_vertices, per_batch):
+        state, depth = bfs(adj, sources.where(F.col("s").between(first, last)))
+        total = _added(total, _dependencies(adj, state, depth), "v", "b")
         drop_table(state)
         max_depth = max(max_depth, depth)
-    total = _union(parts).groupBy(F.col("v").alias("vid")).agg(F.sum("b").alias("betweenness"))
-    out = checkpoint(graph.vertices.select("vid").join(graph.small(total), "vid", "left")
-                     .select("vid", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")))
-    for p in parts:
-        drop_table(p)
+    out = checkpoint(graph.vertices.select("vid").join(graph.small(total.withColumnRenamed("v", "vid")), "vid", "left")
+                     .select("vid", F.coalesce("b", F.lit(0.0)).alias("betweenness")))
+    drop_table(total)
+    drop_table(sources)
     return out, {"node_properties_written": graph.n_vertices, "max_depth": max_depth}
 
 
@@ -126,20 +127,56 @@ def betweenness(graph: Graph, **kw) -> DataFrame:
     return graph.user_names(scores).select("user", "vid", "betweenness")
 
 
+WORD = 64  # targets of one row
+
+
+def _distances(adj: DataFrame, targets: DataFrame) -> DataFrame:
+    """(vid, reached, farness): how many of ``targets`` each node reaches along ``adj`` and the sum of
+    the distances, written. A row (word, v) has a bit for each of the WORD targets of
+    a word: ``seen`` those that v reaches, ``new`` those it reaches in as many steps as
+    there were levels. A node gets the new bits of the nodes that its edges lead to."""
+    own = F.expr(f"shiftleft(1L, cast(vid % {WORD} as int))")
+    zero = F.lit(0).cast("long")
+    state = checkpoint(targets.select((F.col("vid") / WORD).cast("long").alias("word"), F.col("vid").alias("v"),
+                                      own.alias("seen"), own.alias("new"), zero.alias("reached"), zero.alias("farness")))
+    depth = 0
+    while True:
+        depth += 1
+        front = state.where("new <> 0").select("word", F.col("v").alias("dst"), "new")
+        msgs = adj.join(front, "dst").select("word", F.col("src").alias("v"), zero.alias("seen"), F.col("new").alias("msg"),
+                                             zero.alias("reached"), zero.alias("farness"))
+        folded = (state.withColumn("msg", zero).drop("new").unionByName(msgs).groupBy("word", "v")
+                  .agg(F.bit_or("seen").alias("seen"), F.bit_or("msg").alias("msg"),
+                       F.max("reached").alias("reached"), F.max("farness").alias("farness")))
+        new = F.col("msg").bitwiseAND(F.bitwise_not("seen"))
+        nxt = folded.select("word", "v", F.col("seen").bitwiseOR(F.col("msg")).alias("seen"), new.alias("new"),
+                            (F.col("reached") + F.bit_count(new)).alias("reached"),
+                            (F.col("farness") + depth * F.bit_count(new)).alias("farness"))
+        obs = observation("levels")
+        old, state = state, checkpoint(nxt.observe(obs, F.count_if(F.col("new") != 0).alias("n")))
+        drop_table(old)
+        if not int(obs.get["n"] or 0):
+            break
+    out = checkpoint(state.groupBy(F.col("v").alias("vid")).agg(F.sum("reached").alias("reached"), F.sum("farness").alias("farness")))
+    drop_table(state)
+    return out
+
+
 def closeness(graph: Graph, direction: str = "out", sources_per_batch: int | None = None) -> DataFrame:
-    """reached / sum of distances over the users reachable along ``direction``; 0 when none."""
-    adj = adjacency(graph, direction)
-    parts = []
-    for batch in _batches(adj, graph, sources_per_batch):
-        state, _ = bfs(adj, batch)
-        parts.append(checkpoint(state.where(F.col("d") > 0).groupBy(F.col("s").alias("vid"))
-                                .agg(F.count(F.lit(1)).alias("reached"), F.sum("d").alias("farness"))))
-        drop_table(state)
+    """reached / sum of distances over the users reachable along ``direction``; 0 when none.
+
+    Searched from the far ends, WORD of them in the bits of one number, so the state is
+    a row a node and word and not one a pair; every user is a far end of one batch."""
+    adj = adjacency(graph, direction).select("src", "dst").where("src <> dst")
+    per_batch = sources_per_batch or WORD * max(1, STATE_ROWS // max(graph.n_vertices, 1))
+    total = None
+    for first, last in _batches(graph.n_vertices, per_batch):
+        part = _distances(adj, graph.vertices.where(F.col("vid").between(first, last)).select("vid"))
+        total = _added(total, part, "vid", "reached", "farness")
     score = F.when(F.col("farness") > 0, F.col("reached") / F.col("farness")).otherwise(F.lit(0.0))
-    out = checkpoint(graph.vertices.select("vid").join(graph.small(_union(parts)), "vid", "left")
+    out = checkpoint(graph.vertices.select("vid").join(graph.small(total), "vid", "left")
                      .select("vid", score.alias("closeness")))
-    for p in parts:
-        drop_table(p)
+    drop_table(total)
     return graph.user_names(out).select("user", "vid", "closeness")
 
 
@@ -149,44 +186,75 @@ def simple_neighbours(graph: Graph) -> DataFrame:
     return p.select("src", "dst").union(p.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
+def _level(nb: DataFrame, reached: DataFrame, depth: int) -> tuple[DataFrame, int]:
+    """``reached`` (vid, d) with the nodes at ``depth`` + 1, written, and their number."""
+    front = reached.where(F.col("d") == depth).select(F.col("vid").alias("src"))
+    msgs = front.join(nb, "src").select(F.col("dst").alias("vid"), F.lit(depth + 1).alias("d"))
+    obs = observation("level")
+    out = checkpoint(reached.unionByName(msgs).groupBy("vid").agg(F.min("d").alias("d")).observe(
+        obs, F.count_if(F.col("d") == depth + 1).alias("n")))
+    n = int(obs.get["n"] or 0)
+    drop_table(reached)
+    return out, n
+
+
 def shortest_path(graph: Graph, source: str, target: str) -> DataFrame:
     """One shortest undirected path (the lexicographically smallest on ties) as an
-    array of user ids; no row when unreachable. The adjacency is written once; a level
-    keeps the smallest path to each node as an array of ids (which are in user order)."""
+    array of user ids; no row when unreachable.
+
+    The search goes from both ends, a level of the end with the smaller front at a
+    time, and keeps a distance a node. Where the fronts meet, all nodes on shortest
+    paths are found level by level towards the ends; the path takes the smallest of
+    them that is next to its last (ids are in user order)."""
     spark = graph.vertices.sparkSession
     ends = graph.vertices.where(F.col("user").isin(source, target)).select("user", "vid").collect()  # two rows
     ids = {r["user"]: r["vid"] for r in ends}
     schema = "source string, target string, length int, path array<string>"
     if source not in ids or target not in ids:
         return spark.createDataFrame([], schema)
+    a, b = ids[source], ids[target]
+    if a == b:
+        return spark.createDataFrame([(source, target, 0, [source])], schema)
     nb = checkpoint(simple_neighbours(graph))
-    reached = checkpoint(graph.vertices.where(F.col("vid") == ids[source])
-                         .select("vid", F.array("vid").alias("path"), F.lit(0).alias("d")))
-    depth, found = 0, ids[source] == ids[target]
-    while not found:
-        front = reached.where(F.col("d") == depth).select(F.col("vid").alias("src"), "path")
-        msgs = (front.join(nb, "src").groupBy(F.col("dst").alias("vid")).agg(F.min("path").alias("via"))
-                .select("vid", F.concat("via", F.array("vid")).alias("path"), F.lit(depth + 1).alias("d")))
-        folded = (reached.unionByName(msgs).groupBy("vid")
-                  .agg(F.min_by("path", "d").alias("path"), F.min("d").alias("d")))
-        obs = observation("sp")
-        new = F.col("d") == depth + 1
-        old, reached = reached, checkpoint(folded.observe(
-            obs, F.count_if(new).alias("n"), F.count_if(new & (F.col("vid") == ids[target])).alias("hit")))
-        drop_table(old)
-        got = obs.get
-        if not int(got["n"] or 0):
-            drop_table(reached)
-            drop_table(nb)
-            return spark.createDataFrame([], schema)
-        depth, found = depth + 1, int(got["hit"] or 0) > 0
-    steps = reached.where(F.col("vid") == ids[target]).select(F.posexplode("path").alias("i", "vid"))
+    sides = [checkpoint(graph.vertices.where(F.col("vid") == v).select("vid", F.lit(0).alias("d"))) for v in (a, b)]
+    depth, front = [0, 0], [1, 1]
+    found: DataFrame | None = None
+    while found is None and all(front):
+        k = 0 if front[0] <= front[1] else 1
+        sides[k], front[k] = _level(nb, sides[k], depth[k])
+        depth[k] += 1
+        # no shorter path is left, so the ends of a meeting are the last levels of both sides
+        meeting = [s.where(F.col("d") == d).select("vid") for s, d in zip(sides, depth, strict=True)]
+        met = checkpoint(meeting[0].join(meeting[1], "vid"))
+        if met.isEmpty():
+            drop_table(met)
+        else:
+            found = met
+    tables = [nb, *sides]
+    if found is None:
+        for t in tables:
+            drop_table(t)
+        return spark.createDataFrame([], schema)
+    length = depth[0] + depth[1]
+    on_path = {depth[0]: found}  # by the distance from the source
+    for k, step in ((0, -1), (1, 1)):
+        here = found
+        for d in range(depth[k] - 1, 0, -1):
+            near = here.join(nb.select(F.col("src").alias("vid"), "dst"), "vid").select(F.col("dst").alias("vid")).distinct()
+            here = checkpoint(near.join(sides[k].where(F.col("d") == d).select("vid"), "vid"))
+            on_path[d if k == 0 else length - d] = here
+    path = [a]
+    for i in range(1, length):  # one value a step of the path
+        path.append(nb.where(F.col("src") == path[-1]).join(on_path[i].withColumnRenamed("vid", "dst"), "dst")
+                    .agg(F.min("dst")).first()[0])
+    path.append(b)
+    steps = spark.createDataFrame(list(enumerate(path)), "i int, vid long")
     named = graph.user_names(steps).groupBy().agg(F.array_sort(F.collect_list(F.struct("i", "user"))).alias("p"))
     out = checkpoint(named.select(
         F.lit(source).alias("source"), F.lit(target).alias("target"), (F.size("p") - 1).alias("length"),
         F.transform("p", lambda x: x["user"]).alias("path")))
-    drop_table(reached)
-    drop_table(nb)
+    for t in {id(t): t for t in (*tables, *on_path.values())}.values():
+        drop_table(t)
     return out
 
 

@@ -182,3 +182,79 @@ def test_louvain_moves_apart_add_up(spark, monkeypatch):
     q = communities.modularity_of(undirected(g.projection), labels, label="community").first()["modularity"]
     assert s["converged"] and q == pytest.approx(s["modularity"], abs=1e-12)
     assert s["modularities"] == sorted(s["modularities"])
+
+
+def _distances(pairs, start, directed=True):
+    out = defaultdict(set)
+    for a, b in pairs:
+        out[a].add(b)
+        if not directed:
+            out[b].add(a)
+    dist, todo = {start: 0}, deque([start])
+    while todo:
+        v = todo.popleft()
+        for w in out[v]:
+            if w not in dist:
+                dist[w] = dist[v] + 1
+                todo.append(w)
+    return dist
+
+
+def _some_graphs():
+    import random
+
+    rng = random.Random(8)
+    yield [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(260)]  # more users than bits of a word
+    yield [(i, i + 1) for i in range(12)] + [(20, 21), (21, 20), (22, 22)]
+    yield [(a, b) for a in range(6) for b in range(10, 16)] + [(a, b) for a in range(10, 16) for b in range(20, 26)] + _hub_pairs()
+
+
+def test_closeness_matches_reference(spark):
+    for pairs in _some_graphs():
+        g = build_graph(_edges_df(spark, pairs))
+        for batch in (None, 70) if len(pairs) > 250 else (None,):
+            got = {r["user"]: r["closeness"] for r in paths.closeness(g, sources_per_batch=batch).collect()}
+            for v in {x for p in pairs for x in p}:
+                d = [k for k in _distances(pairs, v).values() if k]
+                assert got[f"user{v}"] == pytest.approx(len(d) / sum(d) if d else 0.0, abs=1e-12)
+
+
+def test_shortest_path_is_the_smallest(spark):
+    for pairs in _some_graphs():
+        g = build_graph(_edges_df(spark, pairs))
+        nodes = sorted({x for p in pairs for x in p})
+        nb = defaultdict(set)
+        for a, b in pairs:
+            nb[a].add(b)
+            nb[b].add(a)
+        for a, b in [(nodes[0], nodes[-1]), (nodes[1], nodes[len(nodes) // 2]), (nodes[2], nodes[2])]:
+            left = _distances(pairs, b, directed=False)
+            row = paths.shortest_path(g, f"user{a}", f"user{b}").collect()
+            if a not in left:
+                assert row == []
+                continue
+            want = [a]
+            while want[-1] != b:
+                want.append(min((x for x in nb[want[-1]] if left.get(x, 99) == left[want[-1]] - 1), key=lambda x: f"user{x}"))
+            assert [tuple(r) for r in row] == [(f"user{a}", f"user{b}", len(want) - 1, [f"user{x}" for x in want])]
+
+
+def test_triangles_match_reference(spark):
+    for pairs in _some_graphs():
+        g = build_graph(_edges_df(spark, pairs))
+        got = {r["user"]: r["triangle_count"] for r in triangles.triangle_count(g).collect()}
+        assert {u: n for u, n in got.items() if n} == ref_triangles(pairs)
+
+
+def test_plans_are_as_wide_after_any_number_of_batches(spark, monkeypatch):
+    g = build_graph(_edges_df(spark, _hub_pairs()))
+    real, widest = paths.checkpoint, []
+    monkeypatch.setattr(paths, "checkpoint", lambda df: (widest.append(
+        df._jdf.queryExecution().analyzed().toString().count("Relation")), real(df))[1])
+    found = []
+    for per_batch in (12, 4):  # 2 and 6 batches
+        for run in (paths.betweenness, paths.closeness):
+            widest.clear()
+            run(g, sources_per_batch=per_batch)
+            found.append((run.__name__, max(widest)))
+    assert len(set(found)) == 2
