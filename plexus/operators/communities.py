@@ -94,7 +94,7 @@ def _proposals(off: DataFrame, comm: DataFrame, n_nodes: int, two_m: float) -> D
     over staying (in units of weight; 2 / 2m of it is the change of Q). Ties: smallest label."""
     tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
     kin = (off.join(small_rows(comm.select(F.col("n").alias("dst"), F.col("c").alias("cv")), n_nodes), "dst")
-           .groupBy(F.col("src").alias("n"), "cv").agg(F.sum("w").alias("kin")))
+           .select(F.col("src").alias("n"), "cv", F.col("w").alias("kin")))
     me = comm.select("n", F.col("c").alias("cu"), "k")
     # candidate communities of each node: its neighbours' and its own
     cand = (kin.unionByName(me.select("n", F.col("cu").alias("cv"), F.lit(0).cast("long").alias("kin")))
@@ -171,11 +171,42 @@ def _local_moves(sym: DataFrame, nodes: DataFrame, n_nodes: int, two_m: float, l
     return moves, q, moved
 
 
+def connected_parts(off: DataFrame, comm: DataFrame, n_nodes: int) -> DataFrame:
+    """(n, c): each community of ``comm`` cut into its connected parts, named by their smallest
+    node, written. A node takes the smallest name among its neighbours of the same
+    community and then the name of that name's node, so the rounds grow with the logarithm
+    of the longest chain."""
+    lab = comm.select("n", "c")
+    inner = checkpoint(
+        off.join(small_rows(lab.select(F.col("n").alias("src"), F.col("c").alias("cs")), n_nodes), "src")
+        .join(small_rows(lab.select(F.col("n").alias("dst"), F.col("c").alias("cd")), n_nodes), "dst")
+        .where("cs = cd").select("src", "dst"))
+    parts = checkpoint(lab.select("n", F.col("n").alias("p")))
+    while True:
+        names = small_rows(parts, n_nodes)
+        near = (inner.join(names.select(F.col("n").alias("dst"), "p"), "dst")
+                .groupBy(F.col("src").alias("n")).agg(F.min("p").alias("near")))
+        low = parts.join(near, "n", "left").select("n", "p", F.least("p", "near").alias("low"))
+        there = names.select(F.col("n").alias("low"), F.col("p").alias("further"))
+        obs = observation("parts")
+        nxt = checkpoint(low.join(there, "low").select("n", F.least("low", "further").alias("q"), "p").observe(
+            obs, F.count_if(F.col("q") != F.col("p")).alias("changed")))
+        changed = int(obs.get["changed"] or 0)
+        drop_table(parts)
+        parts = nxt.select("n", F.col("q").alias("p"))
+        if not changed:
+            break
+    drop_table(inner)
+    return parts.select("n", F.col("p").alias("c"))
+
+
 def louvain_run(graph: Graph, max_levels: int | None = None, tol: float = 1e-7):
     """Multi-level Louvain. Returns (labels (vid, community), summary).
 
-    Level loop: local moves, then contraction of each community into one node
-    (internal weight becomes a self-loop), until a level moves nothing. Labels are the
+    Level loop: local moves, then each community is cut into its connected parts (a node
+    that left may have held two parts together; apart they have a higher Q), then contraction of
+    each part into one node (internal weight becomes a self-loop), until a level moves
+    nothing. So every community is connected. Labels are the
     smallest member vid of each final community. Every table is checkpointed;
     nothing is collected. ``max_levels`` stops earlier on request, which the summary
     says in ``converged``.
@@ -199,16 +230,19 @@ def louvain_run(graph: Graph, max_levels: int | None = None, tol: float = 1e-7):
             if not levels_q:
                 levels_q.append(q)
             break
+        off = sym.where(F.col("src") != F.col("dst"))
+        cmap = connected_parts(off, comm, n_nodes)
+        if cmap.select("c").distinct().count() != comm.select("c").distinct().count():
+            q = float(modularity_of(sym, cmap, node="n").first()["modularity"])
         levels_q.append(q)
-        cmap = comm.select("n", "c")
         old_member, old_sym = member, sym
         member = checkpoint(member.join(small_rows(cmap, n_nodes), "n").select("vid", F.col("c").alias("n")))
         sym = checkpoint(
             sym.join(small_rows(cmap.select(F.col("n").alias("src"), F.col("c").alias("cs")), n_nodes), "src")
             .join(small_rows(cmap.select(F.col("n").alias("dst"), F.col("c").alias("cd")), n_nodes), "dst")
             .groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")))
-        n_nodes = comm.select("c").distinct().count()
-        for done in (comm, old_member, old_sym, nodes):
+        n_nodes = cmap.select("c").distinct().count()
+        for done in (comm, cmap, old_member, old_sym, nodes):
             drop_table(done)
     labels = member.groupBy("n").agg(F.min("vid").alias("community"))
     labels = checkpoint(member.join(labels, "n").select("vid", "community"))

@@ -258,3 +258,37 @@ def test_plans_are_as_wide_after_any_number_of_batches(spark, monkeypatch):
             run(g, sources_per_batch=per_batch)
             found.append((run.__name__, max(widest)))
     assert len(set(found)) == 2
+
+def test_louvain_communities_are_connected(spark):
+    """A community that a leaving node has cut in two becomes two, with a higher modularity."""
+    import random
+
+    from plexus.operators import communities
+    from plexus.operators.graph import undirected
+
+    # two cliques that only node 0 joins, in one community without node 0; and one long chain
+    pairs = [(a, b) for k in (10, 20) for a in range(k, k + 5) for b in range(a + 1, k + 5)] + [(0, 10), (0, 20)]
+    pairs += [(100 + i, 101 + i) for i in range(40)]
+    g = build_graph(_edges_df(spark, pairs))
+    ids = {r["user"]: r["vid"] for r in g.vertices.collect()}
+    sym = undirected(g.projection)
+    given = spark.createDataFrame([(v, 0 if u == "user0" else 2 if int(u[4:]) >= 100 else 1) for u, v in ids.items()], "n long, c long")
+    got = {r["n"]: r["c"] for r in communities.connected_parts(sym.where("src <> dst"), given, g.n_vertices).collect()}
+    want = {}
+    for group in ([0], range(10, 15), range(20, 25), range(100, 141)):
+        vids = [ids[f"user{x}"] for x in group]
+        want |= {v: min(vids) for v in vids}
+    assert got == want
+
+    rng = random.Random(5)
+    for pairs in (pairs, [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(90)]):
+        g = build_graph(_edges_df(spark, pairs))
+        labels, s = communities.louvain_run(g)
+        lab = {r["vid"]: r["community"] for r in labels.collect()}
+        names = {r["vid"]: int(r["user"][4:]) for r in g.vertices.collect()}
+        for c in set(lab.values()):
+            inside = {names[v] for v, x in lab.items() if x == c}
+            edges = [(a, b) for a, b in pairs if a in inside and b in inside]
+            assert set(_distances(edges, min(inside), directed=False)) == inside
+        q = communities.modularity_of(undirected(g.projection), labels, label="community").first()["modularity"]
+        assert q == pytest.approx(s["modularity"], abs=1e-12) and s["modularities"] == sorted(s["modularities"])
