@@ -22,7 +22,6 @@ an empty result; other columns are never read.
 from __future__ import annotations
 
 import re
-import sys
 from collections import defaultdict
 from dataclasses import dataclass
 from uuid import uuid4
@@ -41,9 +40,7 @@ MAX_SAMPLE = 20_000
 SAMPLE_CHARS = 20_000
 JOINED = 30
 LEXICON_COUNT = 20
-# a word is a run of letters; what Unicode calls a number without being a letter is none
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
-PATTERN = re.compile(rf"[^\W\d_{_NUMBERS}]+|[.!?\n]")
+PATTERN = re.compile(r"[^\W\d_]+|[.!?\n]")
 TASK_CHARS = 1 << 21
 
 
@@ -147,7 +144,8 @@ def label(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
             ids, texts, size = [], [], 0
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids.append(i)
-                texts.append(t or "")
+                # the pattern also takes signs like one half, which alone make no word
+                texts.append(t if t and any(map(str.isalpha, t)) else "")
                 size += len(texts[-1])
                 if size >= TASK_CHARS:
                     yield tag(ids, texts)
