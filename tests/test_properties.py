@@ -292,3 +292,38 @@ def test_louvain_communities_are_connected(spark):
             assert set(_distances(edges, min(inside), directed=False)) == inside
         q = communities.modularity_of(undirected(g.projection), labels, label="community").first()["modularity"]
         assert q == pytest.approx(s["modularity"], abs=1e-12) and s["modularities"] == sorted(s["modularities"])
+
+
+def test_betweenness_in_lanes_pieces_and_few_batches(spark, monkeypatch):
+    """More sources than lanes, rows cut everywhere, and batches by what sources reach: 150 users who
+    only reach 12 others go in one batch and not in one of four sources each."""
+    import random
+
+    rng = random.Random(8)
+    pairs = [(rng.randint(0, 161), rng.randint(150, 161)) for _ in range(600)] + [(7, 7), (150, 3), (3, 9), (9, 150)]
+    g = build_graph(_edges_df(spark, pairs))
+    want = ref_betweenness(pairs)
+    for name in ("PAIRS", "STATE_ROWS"):
+        monkeypatch.setattr(paths, name, 4 * g.n_vertices + 2_000, raising=False)
+    real, batches = paths._added, []
+    monkeypatch.setattr(paths, "_added", lambda *a: (batches.append(1), real(*a))[1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for sizes in ((256, 1 << 14, 1 << 15), (3, 7, 10)):
+            for name, n in zip(("EDGES", "MESSAGES", "HELD"), sizes):
+                monkeypatch.setattr(paths, name, n, raising=False)
+            batches.clear()
+            got = {r["user"]: r["betweenness"] for r in paths.betweenness(g).collect()}
+            assert got == {u: pytest.approx(v, abs=1e-9) for u, v in want.items()}
+            assert len(batches) <= 2
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_betweenness_of_chains_and_empty_graphs(spark):
+    for pairs in ([(i, i + 1) for i in range(9)], [(1, 1)], [(1, 2), (2, 1)]):
+        got = {r["user"]: r["betweenness"] for r in paths.betweenness(build_graph(_edges_df(spark, pairs))).collect()}
+        assert got == {u: pytest.approx(v) for u, v in ref_betweenness(pairs).items()}
+    empty = build_graph(_edges_df(spark, [(1, 2)]).where("user_from = 'nobody'"))
+    assert paths.betweenness(empty).collect() == []
