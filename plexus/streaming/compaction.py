@@ -11,8 +11,9 @@ next manifest, when no reader of the older one is left.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plexus.session import delete_path, folders, last_commit, written_bytes
 
@@ -60,7 +61,8 @@ def bins(sizes: list[tuple[str, int]], target: int) -> list[list[str]]:
 
 def compact(spark: SparkSession, root: str, checkpoint: str, schema, target: int = TARGET) -> int:
     """Pack the closed batches (and bins of earlier runs) once; returns the number of live folders.
-    One job writes all bins, a task a bin."""
+    A task a bin, many at once: it copies the rows as it reads them, without a shuffle or a sort, so its
+    memory does not grow with the bin."""
     root = root.rstrip("/")
     version, packed, replaced, upto = _manifest(spark, root)
     closed = [n for n in folders(spark, data_path(root), "batch_id") if upto < n <= last_commit(spark, checkpoint)]
@@ -72,15 +74,15 @@ def compact(spark: SparkSession, root: str, checkpoint: str, schema, target: int
     merged = [b for b in todo if len(b) > 1]
     new = f"packed={version + 1}"
     if merged:
-        # one row a folder that this run replaces, so as many as a listing has just given
-        places = spark.createDataFrame([(f, k) for k, b in enumerate(merged) for f in b], "folder string, bin int")
-        rows = spark.read.schema(schema).parquet(*[f"{data_path(root)}/{f}" for b in merged for f in b])
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(.+)/[^/]+$", 1)
-        rows.select("*", folder.alias("folder")).join(F.broadcast(places), "folder").drop("folder").repartition(
-            len(merged), "bin").sortWithinPartitions("bin").write.mode("overwrite").partitionBy("bin").parquet(
-            f"{data_path(root)}/{new}")
-    written = folders(spark, f"{data_path(root)}/{new}", "bin") if merged else []  # empty batches leave no bin
-    order = kept + [f"{new}/bin={k}" for k in written]
+        delete_path(spark, f"{data_path(root)}/{new}")  # of a run that did not come to its manifest
+
+        def pack(k: int) -> None:
+            rows = spark.read.schema(schema).parquet(*[f"{data_path(root)}/{f}" for f in merged[k]])
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{data_path(root)}/{new}/bin={k}")
+
+        with ThreadPoolExecutor(max(1, min(len(merged), spark.sparkContext.defaultParallelism))) as pool:
+            list(pool.map(pack, range(len(merged))))
+    order = kept + [f"{new}/bin={k}" for k in range(len(merged))]
     spark.createDataFrame([(order, [f for b in merged for f in b], max(closed))], MANIFEST).coalesce(1).write.mode(
         "overwrite").json(f"{root}/manifests/v={version + 1}")
     for f in replaced:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plexus.operators import silver
 from plexus.schemas import EVENT
-from plexus.session import folders, scratch_path
+from plexus.session import folders, scratch_path, written_bytes
 from plexus.streaming import compaction, counters, windows
 from plexus.streaming import silver as silver_streaming
 from plexus.streaming.bronze import idempotent_batch_writer, start_bronze, write_message_files
@@ -172,3 +172,25 @@ def test_compaction_beside_a_running_stream(spark):
 def test_bins():
     assert compaction.bins([("a", 5), ("b", 4), ("c", 2), ("d", 99), ("e", 1)], 9) == [["a", "b"], ["c"], ["d"], ["e"]]
     assert compaction.bins([], 9) == []
+
+
+def test_compaction_copies_bins_without_a_sort(spark, monkeypatch):
+    """A bin's rows go from file to file; what a run that broke off has left is not read."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    root, ckpt = scratch_path(spark, "test-copy"), scratch_path(spark, "test-copy-ckpt")
+    rows = [(f"u{i}", "v", "like", "2024-01-01 00:00:00") for i in range(40)]
+    for n in range(4):
+        spark.createDataFrame(rows[10 * n:10 * n + 10], EVENT).write.parquet(f"{compaction.data_path(root)}/batch_id={n}")
+    spark.createDataFrame(rows[:5], EVENT).write.parquet(f"{compaction.data_path(root)}/packed=1/bin=7")
+    monkeypatch.setattr(compaction, "last_commit", lambda *a: 3)
+    plans, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString()), real(self, *a, **k))[1])
+    size = max(written_bytes(spark, f"{compaction.data_path(root)}/batch_id={n}") for n in range(4))
+    assert compaction.compact(spark, root, ckpt, EVENT, target=2 * size) == 2
+    monkeypatch.undo()
+    assert len(plans) == 2 and not any(w in p for p in plans for w in ("Sort", "Exchange"))
+    assert folders(spark, compaction.data_path(root) + "/packed=1", "bin") == [0, 1]
+    assert compaction.live_folders(spark, root) == ["packed=1/bin=0", "packed=1/bin=1"]
+    assert sorted(r.user_from for r in compaction.read_batches(spark, root, EVENT).collect()) == sorted(r[0] for r in rows)
