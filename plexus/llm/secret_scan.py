@@ -14,12 +14,12 @@ its features, labelled or not; only a provider's format is a secret whatever its
 Each labelled finding teaches the forest twice, once without the features that the
 rules look at (HIDDEN), so that it also knows secrets by their characters alone. The
 dictionary is the corpus's own: whole words of at least DICTIONARY_LETTERS letters
-outside the candidates that a share of DICTIONARY_SHARE of the distinct texts with
-candidates have, and DICTIONARY_DOCS of them at least.
+outside the candidates that a share of DICTIONARY_SHARE of all distinct texts
+have, and DICTIONARY_DOCS of them at least.
 
-Everything is DataFrame functions and Spark ML; the forest is fitted to at most
-SAMPLE distinct values of each kind (the smallest hashes) and has a fixed size. Each text
-is looked through once; texts with a candidate are cut at their candidates once
+Everything is DataFrame functions and Spark ML; the forest is fitted to every
+distinct labelled value and has a fixed size. Each text is looked through once for candidates
+and once for words; texts with a candidate are cut at their candidates once
 more and kept in pieces, from which the masked text is put together again. Offsets and
 neighbouring words come from a window over the pieces of a text, so the work grows
 with the text's length whatever the number of its candidates. Only ends of pieces
@@ -83,7 +83,6 @@ AROUND = 6  # pieces of a text before and after a candidate, its neighbours amon
 DICTIONARY_LETTERS = 3
 DICTIONARY_DOCS = 5
 DICTIONARY_SHARE = 1e-4
-SAMPLE = 10_000
 TREES, DEPTH = 20, 6
 SECRET = 0.5
 MASK = "[SECRET]"
@@ -142,11 +141,15 @@ def candidates(docs: DataFrame, path_col: str = "source") -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """Words of the documents with candidates, in small letters; ``docs`` has ``row`` and ``text``."""
+    """Words of all distinct texts, in small letters. ``docs`` has ``row`` and ``text``, and perhaps ``hot``,
+    whether a text has candidates; the others need not be searched for them."""
+    docs = docs.where(F.col("text").isNotNull())
     firsts = small_side(docs.groupBy(F.xxhash64("text")).agg(F.min("row").alias("row")).select("row"), "distinct-texts")
     least = max(DICTIONARY_DOCS, math.ceil(firsts.count() * DICTIONARY_SHARE))
     once = docs.join(firsts, "row", "left_semi")
     text = F.regexp_replace(marked(F.col("text")), F.lit(HIT), F.lit("0"))  # without the candidates
+    if "hot" in docs.columns:
+        text = F.when(F.col("hot"), text).otherwise(F.col("text"))
     edge = r"[A-Za-z0-9_+/=\-]"
     words = F.array_distinct(F.transform(F.regexp_extract_all(
         text, F.lit(f"(?<!{edge})[A-Za-z]{{{DICTIONARY_LETTERS},}}+(?!{edge})"), F.lit(0)), F.lower))
@@ -215,8 +218,7 @@ def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     """A forest from findings with their feature columns and ``label`` (1 secret, 0 not): each distinct value
     once as it is and once without the HIDDEN features."""
     values = labelled.groupBy("value", "label").agg(F.min(F.struct(*FEATURES)).alias("x"))
-    kinds = [values.where(F.col("label") == y).orderBy(F.xxhash64("value"), "value").limit(SAMPLE) for y in (0, 1)]
-    rows = kinds[0].union(kinds[1]).select(F.col("label").cast("double").alias("label"), "x.*")
+    rows = values.select(F.col("label").cast("double").alias("label"), "x.*")
     blind = rows.select("label", *[F.lit(0.0).alias(c) if c in HIDDEN else F.col(c) for c in FEATURES])
     rows = materialize(rows.select("label", *FEATURES).union(blind), "labelled-findings")
     if rows.select("label").distinct().count() < 2:
@@ -241,13 +243,23 @@ def _numbered(docs: DataFrame, row: str) -> DataFrame:
     return docs.withColumn(row, F.monotonically_increasing_id())
 
 
-def _findings(hot: DataFrame, row: str, path_col: str, cut: str | None = None) -> DataFrame:
-    """Judged candidates of the written rows with candidates (``hot``, named by ``row``, in pieces in ``cut``)."""
+def _written(docs: DataFrame, row: str, hot: str) -> DataFrame:
+    """All rows, numbered in ``row``, written apart by whether they have candidates (``hot``): one pass over the texts."""
+    path = scratch_path(docs.sparkSession, "texts")
+    flagged = _numbered(docs, row).withColumn(hot, with_candidates(docs["text"]))
+    flagged.write.partitionBy(hot).parquet(path)
+    return docs.sparkSession.read.schema(flagged.schema).parquet(path)
+
+
+def _findings(both: DataFrame, flag: str, hot: DataFrame, row: str, path_col: str, cut: str | None = None) -> DataFrame:
+    """Judged candidates of the written rows with candidates (``hot``, named by ``row``, in pieces in ``cut``);
+    the dictionary comes from all rows (``both``, those with candidates by ``flag``)."""
     rows = hot.select(col(hot, row).alias("row"), hot["doc_id"].cast("long").alias("doc_id"), hot["text"].alias("text"),
                       col(hot, path_col).alias("path"), *([col(hot, cut).alias("pieces")] if cut else []))
     cands = materialize(candidates(rows, "path"), "candidates")
+    texts = both.select(col(both, row).alias("row"), both["text"].alias("text"), col(both, flag).alias("hot"))
     # written, so that a value in many findings does not meet them in one task
-    covered = small_side(coverage(cands, small_side(dictionary(rows.select("row", "text")), "dictionary")), "coverage")
+    covered = small_side(coverage(cands, small_side(dictionary(texts), "dictionary")), "coverage")
     found_ = features(cands.join(covered, "value"))
     found_ = materialize(found_.withColumn("label", rule_labels(found_)), "findings")
     return judge(found_, train(found_.where(F.col("label").isNotNull())))
@@ -255,26 +267,22 @@ def _findings(hot: DataFrame, row: str, path_col: str, cut: str | None = None) -
 
 def scan(docs: DataFrame, path_col: str = "source") -> DataFrame:
     """doc_id, start, end, label, score, secret of every candidate."""
-    row = fresh(docs, "row")
-    hot = materialize(_numbered(docs.where(with_candidates(docs["text"])), row), "candidate-rows")
-    return _findings(hot, row, path_col).drop("row", "n")
+    row, flag = fresh(docs, "row"), fresh(docs, "has_candidates")
+    # only what is looked at is written
+    both = _written(docs.select(*[col(docs, c) for c in dict.fromkeys(["doc_id", "text", path_col])]), row, flag)
+    return _findings(both, flag, both.where(col(both, flag)), row, path_col).drop("row", "n")
 
 
 def redact(docs: DataFrame, path_col: str = "source") -> DataFrame:
     """All rows and columns of ``docs``; confirmed secrets in ``text`` become MASK, and
     ``n_chars``, where there is one, the new length."""
-    spark = docs.sparkSession
     row, hot_flag = fresh(docs, "row"), fresh(docs, "has_candidates")
-    # one pass over the texts: written once, apart by whether they have candidates
-    path = scratch_path(spark, "texts")
-    flagged = _numbered(docs, row).withColumn(hot_flag, with_candidates(docs["text"]))
-    flagged.write.partitionBy(hot_flag).parquet(path)
-    both = spark.read.schema(flagged.schema).parquet(path)
+    both = _written(docs, row, hot_flag)
     rest = both.where(~col(both, hot_flag))
     hot = both.where(col(both, hot_flag)).drop(hot_flag)
     cut = fresh(hot, "pieces")
     hot = materialize(hot.withColumn(cut, pieces(F.col("text"))), "pieces")
-    spans = (_findings(hot, row, path_col, cut).groupBy("row")
+    spans = (_findings(both, hot_flag, hot, row, path_col, cut).groupBy("row")
              .agg(F.array_sort(F.collect_list(F.struct("n", "start", "end", "secret"))).alias("spans"))
              .where(F.exists("spans", lambda x: x["secret"]))
              .select(F.col("row").alias(row), F.col("spans").alias(fresh(hot, "spans"))))

@@ -125,3 +125,25 @@ def test_a_value_in_a_third_of_all_findings(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
     got = secret_scan.scan(df).collect()
     assert len(got) == 600 and all(r.secret for r in got)
+
+
+def test_dictionary_and_forest_take_everything(spark, monkeypatch):
+    """A word that only texts without candidates have is in the dictionary; every labelled value is learned from."""
+    plain = [f"the harbourmaster came, {w} as ever" for w in "one two three four five six seven".split()]
+    hot = [f"we saw harbourmaster_{i}234{i} there" for i in range(9)] + [f"call 555-01{i:02}-77 now" for i in range(9)]
+    hot += [f"export T=ghp_{'a1B2' * 8}{'wxyz' * 2}{i}" for i in range(9)]
+    df = spark.createDataFrame([(i, t, "web") for i, t in enumerate(plain + hot)], "doc_id long, text string, source string")
+    monkeypatch.setattr(secret_scan, "SAMPLE", 2, raising=False)
+    real, learned = secret_scan.materialize, []
+
+    def seen(rows, name, *a):
+        out = real(rows, name, *a)
+        if name == "labelled-findings":
+            learned.append(out.groupBy("label").count().collect())
+        return out
+
+    monkeypatch.setattr(secret_scan, "materialize", seen)
+    got = {r.doc_id: r.label for r in secret_scan.scan(df).collect()}
+    n = len(plain)
+    assert [got[i] for i in range(n, n + 9)] == [0] * 9
+    assert {r["label"]: r["count"] for r in learned[0]} == {0.0: 36, 1.0: 18}  # once each and once without HIDDEN
