@@ -671,7 +671,7 @@ def test_thresholds_keep_good_documents(spark):
 def test_query_matches_its_sql(spark, name, sf):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf{sf}/{t}.parquet')")
     res = con.sql(queries.ORACLE_SQL[name])
     df = queries.QUERIES[name](spark, f"/root/testdata/sf{sf}")
