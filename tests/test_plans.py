@@ -1,5 +1,9 @@
 """Physical-plan checks: pushdown, pruning, and the shape of the iterative joins."""
 
+import threading
+
+import pytest
+
 from plexus.operators import silver
 from plexus.plans import catalog
 from plexus.sources.events_adapter import interactions
@@ -37,6 +41,30 @@ def test_pagerank_queries_start_no_search(spark):
     assert not [k for k in catalog._CACHE if k[-1] == "betweenness"]
 
 
+def test_metrics_are_computed_side_by_side(spark, monkeypatch, tmp_path):
+    """Each of the three waits for the other two before it starts; one after the other they would never meet."""
+    spark.sql("select id event_id, timestamp_ntz'2024-01-01 10:00:00' ts, id % 5 user_id, 'view' event_type, 1.0D value,"
+              """ '{"k": ' || (id % 3) || '}' props from range(40)""").write.parquet(f"{tmp_path}/events.parquet")
+    met = threading.Barrier(3, timeout=60)
+    for name in ("_pagerank", "_betweenness", "_lpa"):
+        def run(s, d, real=getattr(catalog, name)):
+            met.wait()
+            return real(s, d)
+        monkeypatch.setattr(catalog, name, run)
+    rows = catalog.metrics_real(spark, str(tmp_path)).collect()
+    assert sorted(r.user for r in rows) == [f"user{n}" for n in range(5)]
+    assert all(None not in r for r in rows)
+
+
+def test_metrics_report_what_failed(spark, monkeypatch):
+    def fails(s, d):
+        raise ValueError("no metric")
+
+    monkeypatch.setattr(catalog, "_lpa", fails)
+    with pytest.raises(ValueError, match="no metric"):
+        catalog.metrics_real(spark, SMALL_SF)
+
+
 def test_memo_notices_new_input(spark, tmp_path):
     src = spark.read.parquet(f"{SMALL_SF}/events.parquet")
     d = str(tmp_path)
