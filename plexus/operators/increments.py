@@ -114,5 +114,5 @@ class GraphStore:
         vertices, v = materialize(self._read("vertices", loads, VERTEX), "vertices", (observation("vertices"), rows))
         projection, p = materialize(self.projection(), "projection", (observation("pairs"), rows, F.sum("w").alias("w")))
         size = sum(written_bytes(self.spark, f.rsplit("/", 1)[0]) for f in vertices.inputFiles()[:1])
-        return Graph(vertices=vertices, edges=self._read("edges", loads, RESOLVED), projection=projection,
+        return Graph(vertices=vertices, resolved=lambda: self._read("edges", loads, RESOLVED), projection=projection,
                      n_vertices=int(v["n"]), n_pairs=int(p["n"]), n_edges=int(p["w"] or 0), vertex_bytes=size)

@@ -4,7 +4,7 @@ import threading
 
 import pytest
 
-from plexus.operators import silver
+from plexus.operators import graph, silver
 from plexus.plans import catalog
 from plexus.sources.events_adapter import interactions
 
@@ -56,6 +56,24 @@ def test_metrics_are_computed_side_by_side(spark, monkeypatch, tmp_path):
     assert all(None not in r for r in rows)
 
 
+def test_metrics_write_no_edge_rows(spark, monkeypatch, tmp_path):
+    """The resolved edge rows are written when a query reads them, not for the searches and rankings."""
+    spark.sql("select id event_id, timestamp_ntz'2024-01-01 10:00:00' ts, id % 5 user_id, 'view' event_type, 1.0D value,"
+              """ '{"k": ' || (id % 3) || '}' props from range(40)""").write.parquet(f"{tmp_path}/events.parquet")
+    written, real = [], graph.materialize
+
+    def noted(df, name, **kw):
+        written.append(name)
+        return real(df, name, **kw)
+
+    monkeypatch.setattr(graph, "materialize", noted)
+    assert catalog.QUERIES["metric_stats"](spark, str(tmp_path)).count() == 2
+    assert "projection" in written and "edges" not in written
+    for _ in range(2):
+        assert catalog.QUERIES["graph_edges"](spark, str(tmp_path)).count() == 15
+    assert written.count("edges") == 1
+
+
 def test_metrics_report_what_failed(spark, monkeypatch):
     def fails(s, d):
         raise ValueError("no metric")

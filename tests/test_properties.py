@@ -2,6 +2,7 @@
 
 from collections import defaultdict, deque
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -327,3 +328,25 @@ def test_betweenness_of_chains_and_empty_graphs(spark):
         assert got == {u: pytest.approx(v) for u, v in ref_betweenness(pairs).items()}
     empty = build_graph(_edges_df(spark, [(1, 2)]).where("user_from = 'nobody'"))
     assert paths.betweenness(empty).collect() == []
+
+
+def test_betweenness_numbers_few_sources_densely_and_many_by_their_ids(spark):
+    """The sources of a star are few and get numbers of their own; where most users are sources their ids serve."""
+    few = build_graph(_edges_df(spark, [(0, n) for n in range(1, 400)] + [(399, 400), (200, 400)]))
+    sources, n = paths._sources(few, paths.adjacency(few))
+    assert n == 3 and sorted(r.i for r in sources.collect()) == [0, 1, 2]
+    many = build_graph(_edges_df(spark, [(a, a % 90 + 1) for a in range(200)]))
+    sources, n = paths._sources(many, paths.adjacency(many))
+    assert n == many.n_vertices and all(r.s == r.i for r in sources.collect())
+    for pairs, g in (([(0, n) for n in range(1, 400)] + [(399, 400), (200, 400)], few), ([(a, a % 90 + 1) for a in range(200)], many)):
+        want = ref_betweenness(pairs)
+        got = {r["user"]: r["betweenness"] for r in paths.betweenness(g).collect()}
+        assert got.keys() == want.keys() and all(abs(got[u] - want[u]) < 1e-9 for u in got)
+
+
+def test_first_level_has_one_lane_a_source(spark):
+    rows = paths._seeds(spark.range(130).selectExpr("id + 1000 as s", "id as i")).orderBy("v").collect()
+    for i, r in enumerate(rows):
+        x, y = np.frombuffer(bytes(r.x)), np.unpackbits(np.frombuffer(bytes(r.y), np.uint8), bitorder="little")
+        assert (r.g, r.v, r.n, len(x), len(y)) == (i // 64, 1000 + i, 1, 64, 64)
+        assert np.flatnonzero(x).tolist() == np.flatnonzero(y).tolist() == [i % 64] and x.sum() == 1
