@@ -104,3 +104,23 @@ def test_influencer_pattern_broadcasts_only_the_vertex_side(spark):
     # two joins against the (small) score table, both broadcast; no sort-merge join
     assert plan.count("BroadcastHashJoin") >= 2
     assert "SortMergeJoin" not in plan
+
+
+def test_shuffles_write_one_file_a_task(spark):
+    """With 200 partitions, as nobody sets them, a map task would open a file for each; other numbers stay."""
+    from plexus.session import prepare
+
+    number, initial = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(number)
+    try:
+        for n, want in (("200", "201"), ("211", None), ("50", "201"), ("8", None)):
+            spark.conf.set(number, n)
+            prepare(spark)
+            assert spark.conf.get(initial, None) == want
+        spark.conf.set(number, "200")
+        spark.conf.set(initial, "64")
+        prepare(spark)
+        assert spark.conf.get(initial) == "64"
+    finally:
+        spark.conf.unset(initial)
+        spark.conf.set(number, before)

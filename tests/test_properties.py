@@ -350,3 +350,36 @@ def test_first_level_has_one_lane_a_source(spark):
         x, y = np.frombuffer(bytes(r.x)), np.unpackbits(np.frombuffer(bytes(r.y), np.uint8), bitorder="little")
         assert (r.g, r.v, r.n, len(x), len(y)) == (i // 64, 1000 + i, 1, 64, 64)
         assert np.flatnonzero(x).tolist() == np.flatnonzero(y).tolist() == [i % 64] and x.sum() == 1
+
+
+def test_pagerank_later_rounds_read_reached_users_only(spark, monkeypatch):
+    """Most users here have no edge into them: the scores are those of a walk over all edges, and the
+    rounds after the first read the few edges whose first user is reached."""
+    from plexus.operators import pagerank as pr
+
+    pairs = [(n, n % 3) for n in range(3, 60)] + [(0, 1), (1, 2), (2, 0), (2, 1), (1, 3), (3, 3)]
+    read, real = [], pr.checkpoint
+
+    def noted(df, *a):
+        out = real(df, *a)
+        if "c" in out.columns:
+            read.append(sorted(r["src"] for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(pr, "checkpoint", noted)
+    g = build_graph(_edges_df(spark, pairs))
+    ids = {r["user"]: r["vid"] for r in g.vertices.collect()}
+    got = {r["user"]: r["pagerank"] for r in pr.pagerank(g, max_iter=9).collect()}
+    assert got == pytest.approx(ref_pagerank(pairs, iters=9), abs=1e-12)
+    assert read == [sorted(ids[f"user{a}"] for a, _ in set(pairs) if a < 4)]
+
+
+def test_label_winners_are_the_same_in_one_number_and_in_two(spark):
+    """Highest score, ties to the smallest label; votes counted in one number are not sorted."""
+    from plexus.operators import communities
+
+    votes = spark.createDataFrame([(0, 4, 7), (0, 2, 7), (0, 1, 6), (1, 0, 1), (2, 4, 2), (2, 0, 9)], "src long, label long, score long")
+    for most in (9, 1 << 62):
+        best = communities._winners(votes, 5, most)
+        assert {r["vid"]: r["new"] for r in best.collect()} == {0: 2, 1: 0, 2: 0}
+        assert ("SortAggregate" in best._jdf.queryExecution().toString()) == (most > 9)
